@@ -174,6 +174,15 @@ def linked(fps: DataFrame, bits: int = 4, parts: int = 3) -> DataFrame:
     return rows.select("cell", "tb", "pb", "probe", "fp").mapInArrow(lambda b: _verify(b, bits), "a long, b long")
 
 
+def _classes(fps: DataFrame, bits: int, parts: int) -> DataFrame:
+    """``(doc_id, fp)`` to ``(fp, component_id)``, one row for each fingerprint."""
+    distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    found = connected_components(linked(distinct.select("fp"), bits, parts)).withColumnsRenamed({"node": "fp", "component": "root"})
+    rooted = distinct.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    return cut(rooted.join(smallest, "root").select("fp", "component_id"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, bits: int = 4, parts: int = 3) -> DataFrame:
     """One row for each row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable).
 
@@ -182,9 +191,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives none; other columns of ``docs`` are not read.
     """
     fps = cut(fingerprints(docs, id_col, text_col, size))
-    distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    found = connected_components(linked(distinct.select("fp"), bits, parts)).withColumnsRenamed({"node": "fp", "component": "root"})
-    rooted = distinct.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    ids = cut(rooted.join(smallest, "root").select("fp", "component_id"))
-    return fps.join(ids, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return fps.join(_classes(fps, bits, parts), "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, bits: int = 4, parts: int = 3, most: int = 32 << 20) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id is the smallest of their class.
+
+    Of a class without any id all rows stay; rows that repeat the id and text of one that stays are that document and
+    stay. The others' keys are broadcast if they take ``most`` bytes at most, else joined by a shuffle.
+    """
+    key = F.xxhash64(id_col, text_col)
+    keyed = docs.select(key.alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, "text"):
+            fp = np.array([fingerprint(x, size) for x in texts(b.column("text"))], U64)
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(signed(fp))], names=["row", "doc_id", "fp"])
+
+    fps = cut(keyed.mapInArrow(run, "row long, doc_id long, fp long"))
+    gone = cut(fps.join(_classes(fps.select("doc_id", "fp"), bits, parts), "fp").where("NOT doc_id <=> component_id").select(F.col("row").alias("__row")).distinct())
+    gone = F.broadcast(gone) if gone.count() * 16 <= most else gone
+    return docs.join(gone, F.xxhash64(docs[id_col], docs[text_col]) == F.col("__row"), "left_anti")
