@@ -7,7 +7,7 @@ UTF-8 never uses those bytes inside a character, so splitting bytes equals split
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -85,3 +85,29 @@ def batch_words(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
+
+
+class Recent:
+    """Values of the words seen lately: two generations of about ``most`` each, which bounds the memory and nothing else.
+
+    ``learn`` gives the values of a list of words.
+    """
+
+    def __init__(self, most: int, learn: Callable[[list], Iterable]):
+        self.most, self.learn = most, learn
+        self.young: dict[Hashable, bytes] = {}
+        self.old: dict[Hashable, bytes] = {}
+
+    def values(self, words: list) -> Iterator[bytes]:
+        if len(self.young) > self.most:
+            self.old, self.young = self.young, {}
+        young, old, missing = self.young, self.old, []
+        for w in set(words).difference(young):
+            found = old.get(w)
+            if found is None:
+                missing.append(w)
+            else:
+                young[w] = found
+        if missing:
+            young.update(zip(missing, self.learn(missing), strict=True))
+        return map(young.__getitem__, words)

@@ -22,14 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.llm._stash import stash
-from linkloom.llm._text import texts
+from linkloom.llm._text import Recent, texts
 from linkloom.llm._text import pieces as batches_of
 
 #: Characters of a chunk of a giant text.
 CHUNK = 32_768
-#: Words remembered by a worker; all others are traced again.
-WORDS = 200_000
+#: Words of a generation remembered by a worker; all others are traced again.
+WORDS = 250_000
 _MARK = "▁"
+_SIGNS = ".,;:!?%$#&*|"
 _SEGMENT = re.compile(f"{_MARK}+[^{_MARK}\n]*|\n+|[^{_MARK}\n]+")
 State = tuple[int, str]  # where the piece across an edge ends, counted from the edge, and the piece
 
@@ -59,10 +60,14 @@ class Scan:
         if any(_MARK in p.lstrip(_MARK) or "\n" in p for p in self.scores):
             raise ValueError("the model has pieces across words")
         self.sound = {p for p in self.scores if len(p) == 1 or self.merged(p) == [p]}
-        self.fits = lru_cache(1 << 20)(lambda a, b: self.merged(a + b, (len(a),)) == [a, b])
-        self.known: dict[str, bytes] = {}
-
-    def merged(self, text: str, stop: tuple[int, ...] = ()) -> list[str]:
+        # Beginnings of pieces, and whether each may stand by itself in a path.
+        self.heads = {p[:n]: n == 1 or p[:n] in self.sound for p in self.scores for n in range(1, len(p) + 1)}
+        self.codes = {p: np.array(i, "<i4").tobytes() for p, i in self.ids.items()}
+        self.fits = lru_cache(300_000)(lambda a, b: a + b not in self.sound and self.merged(a + b) == [a, b])
+        self.recent = Recent(WORDS, lambda words: list(self.learn(words)))
+        self.pairs = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
+
+    def merged(self, text: str) -> list[str]:
         """What the merges yield: the pair of the best score first, of equal ones the leftmost."""
         parts = list(text)
         while len(parts) > 1:
@@ -79,15 +84,18 @@ class Scan:
     def forward(self, text: str, start: int, last: str, end: int) -> dict[int, tuple[str, int]]:
         """For each place up to ``end``, the piece that ends there on the one path from ``last`` at ``start``, and its start."""
         at: dict[int, tuple[str, int]] = {start: (last, -1)}
-        for j in range(start + 1, end + 1):
-            for i in range(max(start, j - self.longest), j):
-                before = at.get(i)
-                if before is None:
-                    continue
+        heads, fits = self.heads.get, self.fits
+        for i in range(start, end):
+            if i not in at:
+                continue
+            before = at[i][0]
+            for j in range(i + 1, end + 1):
                 piece = text[i:j]
-                if (piece in self.sound or j - i == 1) and (not before[0] or self.fits(before[0], piece)):
-                    at[j] = (piece, i)
+                whole = heads(piece, j == i + 1 or None)
+                if whole is None:
                     break
+                if whole and j not in at and (not before or fits(before, piece)):
+                    at[j] = (piece, i)
         return at
 
     def back(self, at: dict[int, tuple[str, int]], end: int, start: int) -> list[str]:
@@ -98,29 +106,29 @@ class Scan:
         return out[::-1]
 
     def coded(self, parts: list[str]) -> bytes:
-        out: list[int] = []
-        for p in parts:
-            i = self.ids.get(p)
-            out += [i] if i is not None else [self.bytes[b] for b in p.encode()]
-        return np.array(out, "<i4").tobytes()
+        codes = self.codes
+        return b"".join([codes.get(p) or np.array([self.bytes[b] for b in p.encode()], "<i4").tobytes() for p in parts])
 
     def segment(self, s: str) -> bytes:
-        found = self.known.get(s)
-        if found is None:
-            found = self.coded(self.back(self.forward(s, 0, "", len(s)), len(s), 0))
-            if len(self.known) >= WORDS:
-                self.known.clear()
-            if len(s) < 64:
-                self.known[s] = found
-        return found
+        """Ids of what stands between two free places."""
+        return self.coded(self.back(self.forward(s, 0, "", len(s)), len(s), 0))
+
+    def learn(self, segments: list[str]) -> Iterator[bytes]:
+        """Ids of segments not seen lately. No piece crosses from a letter to most signs: what stands before them may be known."""
+        known, old = self.recent.young, self.recent.old
+        for s in segments:
+            core = s.rstrip(_SIGNS)
+            if core and len(core) < len(s) and s[len(core) - 1 : len(core) + 1] not in self.pairs:
+                found = known.get(core) or old.get(core)
+                if found is None:
+                    found = known[core] = self.segment(core)
+                yield found + self.segment(s[len(core) :])
+            else:
+                yield self.segment(s)
 
     def encode(self, normal: str) -> bytes:
         """Ids of a whole marked text, in one piece."""
-        known, out = self.known, []
-        for s in _SEGMENT.findall(normal):
-            found = known.get(s)
-            out.append(found if found is not None else self.segment(s))
-        return b"".join(out)
+        return b"".join(self.recent.values(_SEGMENT.findall(normal)))
 
     def crossing(self, text: str, edge: int) -> list[State]:
         """Pieces that may start before ``edge`` and end there or behind it."""
