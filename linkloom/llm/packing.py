@@ -18,10 +18,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm._text import pieces, spans, texts
+from linkloom.llm._text import Recent, pieces, spans, texts
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss_tokens long"
 _SEP = 49407
+_SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @dataclass(frozen=True)
@@ -133,45 +134,47 @@ class Packer:
 class WordTokenizer:
     """Ids of a tokenizer that drops white space and never joins what it separates, a distinct word at a time.
 
-    The last ``most`` distinct words are remembered, which bounds the memory. A word that could hold a special token's
-    text makes the whole text go through the tokenizer at once.
+    Words seen lately are remembered; the tokenizer must lower-case, so A-Z are lowered before. A text that could hold a special token goes through the tokenizer as a whole.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 700_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.tokenizer, self.recent = Tokenizer.from_file(path), Recent(most, self.learn)
 
-    def learn(self, words: list[bytes]) -> None:
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def fresh(self, words: list[bytes]) -> Iterator[bytes]:
         for i in range(0, len(words), 4096):
             part = words[i : i + 4096]
-            ids = np.array(self.tokenizer.encode("<|endoftext|>".join(w.decode() for w in part), add_special_tokens=False).ids, np.uint32)
+            ids = self.ids("<|endoftext|>".join(w.decode() for w in part))
             cuts = np.nonzero(ids == _SEP)[0].tolist()
             if len(cuts) != len(part) - 1:
                 raise ValueError("the tokenizer joined words")
-            ids = ids.astype("<u4")
-            for w, a, b in zip(part, [0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True):
-                self.known[w] = ids[a:b].tobytes()
+            data = ids.tobytes()
+            yield from (data[4 * a : 4 * b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True))
+
+    def learn(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of words not seen lately. Signs behind a letter or figure are tokens of their own, so what stands before them may be known."""
+        young, old = self.recent.young, self.recent.old
+        split = [w.rstrip(_SIGNS) if b"'" not in w else w for w in words]
+        split = [c if c and c[-1:].isalnum() else w for c, w in zip(split, words, strict=True)]
+        known = {}
+        for w, c in zip(words, split, strict=True):
+            for part in (c, w[len(c) :]):
+                if part and part not in known:
+                    known[part] = young.get(part) or old.get(part)
+        missing = [w for w, x in known.items() if x is None]
+        known.update(zip(missing, self.fresh(missing), strict=True))
+        known[b""] = b""
+        # The parts are remembered as words are: the caller adds the whole words.
+        young.update((c, known[c]) for c in split)
+        return (known[c] + known[w[len(c) :]] for w, c in zip(words, split, strict=True))
 
     def encode(self, docs: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        out = []
-        for text in docs:
-            if b"<|" in text:
-                out.append(np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes())
-                continue
-            parts = []
-            for x in spans(text):
-                words = x.split()
-                fresh = set(words).difference(self.known)
-                if fresh:
-                    if len(self.known) + len(fresh) > self.most:
-                        self.known.clear()
-                        fresh = set(words)
-                    self.learn(list(fresh))
-                parts.append(b"".join(map(self.known.__getitem__, words)))
-            out.append(b"".join(parts))
-        return out
+        return [self.ids(x.decode()).tobytes() if b"<|" in x else b"".join(b"".join(self.recent.values(p.split())) for p in spans(x)) for x in docs]
 
 
 _encoders: dict[str, WordTokenizer] = {}
