@@ -17,6 +17,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,7 @@ BLOCK, PART = 12 << 20, 2_000_000
 #: Bits of an n-gram's hash that travel; their top bits also pick the partition.
 BITS = 56
 _K = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9))
+_PACK, _UNPACK = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 _KIND = "part int, n int, block long, grams binary, counts binary"
 
 
@@ -42,16 +44,19 @@ def grams(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np
     return mix(h + U64(n)) >> U64(64 - BITS), at
 
 
-def packed(x: np.ndarray, width: int) -> bytes:
-    """Sorted numbers as planes of bytes: the high ones hardly change, and compress away."""
-    return x.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width :].T.tobytes()
+def packed(x: np.ndarray, width: int, rising: bool = False) -> bytes:
+    """Numbers, or the steps between rising ones, as planes of bytes: the high planes hardly differ, and compress away."""
+    if rising and len(x):
+        x = np.concatenate((x[:1], np.diff(x)))
+    return _PACK.compress(x.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width :].T.tobytes())
 
 
-def unpacked(x: bytes, width: int) -> np.ndarray:
-    planes = np.frombuffer(x, np.uint8).reshape(width, -1)
+def unpacked(x: bytes, width: int, rising: bool = False) -> np.ndarray:
+    planes = np.frombuffer(_UNPACK.decompress(x), np.uint8).reshape(width, -1)
     out = np.zeros((planes.shape[1], 8), np.uint8)
     out[:, 8 - width :] = planes.T
-    return out.reshape(-1).view(">u8").astype(U64)
+    out = out.reshape(-1).view(">u8").astype(U64)
+    return np.cumsum(out, dtype=U64) if rising else out
 
 
 def _cuts(u: np.ndarray, parts: int) -> np.ndarray:
@@ -69,7 +74,7 @@ def _ask(order: int, parts: int):
                 cut = _cuts(u, parts)
                 some = [p for p in range(parts) if cut[p] < cut[p + 1]]
                 cols = [pa.array(some, pa.int32()), pa.array([n] * len(some), pa.int32()), pa.array([block] * len(some), pa.int64())]
-                cols += [pa.array([packed(u[cut[p] : cut[p + 1]], BITS // 8) for p in some], pa.binary()), pa.array([packed(c[cut[p] : cut[p + 1]], 4) for p in some], pa.binary())]
+                cols += [pa.array([packed(u[cut[p] : cut[p + 1]], BITS // 8, True) for p in some], pa.binary()), pa.array([packed(c[cut[p] : cut[p + 1]], 4) for p in some], pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=["part", "n", "block", "grams", "counts"])
 
         now, held = None, []
@@ -107,7 +112,7 @@ def _answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if held:
                     yield from out(now, held)
                 now, held = (n[i], part[i]), []
-            held.append((block[i], unpacked(g[i], BITS // 8), unpacked(c[i], 4)))
+            held.append((block[i], unpacked(g[i], BITS // 8, True), unpacked(c[i], 4)))
     if held:
         yield from out(now, held)
 
@@ -159,8 +164,9 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK, part_gr
     size, everything = docs.select("text").mapInArrow(measure, "size long, words long").agg(F.sum("size"), F.sum("words")).first()
     size, everything = size or 0, everything or 0
     blocks, parts = max(1, -(-size // block_bytes)), max(1, -(-everything // part_grams))
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition(blocks, "block")
-    asked = dealt.sortWithinPartitions("block").select("block", "text").mapInArrow(_ask(order, parts), _KIND)
+    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition("block")
+    # All columns stay, so that both readers of ``dealt`` share one exchange.
+    asked = dealt.sortWithinPartitions("block").mapInArrow(_ask(order, parts), _KIND)
     answers = asked.repartition(parts * order, "n", "part").sortWithinPartitions("n", "part").mapInArrow(_answer, "part int, n int, block long, totals binary")
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
