@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -50,22 +50,24 @@ class _Example:
         return max(0, b - max(a, self.loss_from))
 
 
-@dataclass
 class Packer:
     """Packs examples that come one by one; each placement is (example, start, length, sequence, offset)."""
 
-    limits: Limits
-    sequence: int = 0
-    waiting: list[_Example] = field(default_factory=list)
-    left: list[int] = field(default_factory=list)
-    held: list[tuple[_Example, int, int, int]] = field(default_factory=list)
+    def __init__(self, limits: Limits, sequence: int = 0):
+        self.limits, self.sequence = limits, sequence
+        self.waiting: list[_Example] = []
+        self.size = np.zeros((limits.window, 3))  # demands of those that wait
+        self.most = np.array([limits.tokens, limits.segments, limits.loss], np.float64)
+        self._open()
 
-    def __post_init__(self) -> None:
+    def _open(self) -> None:
         self.left = [self.limits.tokens, self.limits.segments, self.limits.loss]
+        self.held: list[tuple[_Example, int, int, int]] = []
 
     def add(self, x: _Example) -> Iterator[tuple]:
+        self.size[len(self.waiting)] = x.total - x.start, 1, x.loss(x.start, x.total)
         self.waiting.append(x)
-        if len(self.waiting) >= self.limits.window:
+        if len(self.waiting) == self.limits.window:
             yield from self._fill()
 
     def _longest(self, x: _Example) -> int:
@@ -78,18 +80,15 @@ class Packer:
     def _fill(self) -> Iterator[tuple]:
         """Fills and closes the open sequence, as far as examples last."""
         while self.waiting:
-            size = np.array([[x.total - x.start, 1, x.loss(x.start, x.total)] for x in self.waiting], np.float64)
-            most = np.array([self.limits.tokens, self.limits.segments, self.limits.loss], np.float64)
-            left = np.array(self.left, np.float64)
-            fits = (size <= left).all(1)
-            score = (size / most) @ (left / most)
-            if fits.any():
-                at = int(np.argmax(np.where(fits, score, -1.0)))
-                n = self.waiting[at].total - self.waiting[at].start
-            else:
+            size, left = self.size[: len(self.waiting)], np.array(self.left, np.float64)
+            score = np.where((size <= left).all(1), size @ (left / self.most**2), -1.0)
+            at = int(np.argmax(score))
+            if score[at] < 0:
                 can = [self._longest(x) for x in self.waiting]
                 at = int(np.argmax(can))
                 n = can[at]
+            else:
+                n = self.waiting[at].total - self.waiting[at].start
             if n:
                 x = self.waiting[at]
                 self.held.append((x, x.start, n, self.limits.tokens - self.left[0]))
@@ -98,7 +97,11 @@ class Packer:
                 self.left[2] -= x.loss(x.start, x.start + n)
                 x.start += n
                 if x.start == x.total:
-                    self.waiting.pop(at)
+                    last = self.waiting.pop()
+                    if at < len(self.waiting):
+                        self.waiting[at], self.size[at] = last, self.size[len(self.waiting)]
+                else:
+                    self.size[at] = x.total - x.start, 1, x.loss(x.start, x.total)
             if not n or not self.left[0] or not self.left[1]:
                 yield from self._close()
                 return
@@ -106,8 +109,8 @@ class Packer:
     def _close(self) -> Iterator[tuple]:
         """Ends the open sequence. A full one stands as it is; any other is cut to powers of two."""
         total = self.limits.tokens - self.left[0]
-        held, self.held = self.held, []
-        self.__post_init__()
+        held = self.held
+        self._open()
         if total == self.limits.tokens:
             for x, start, n, offset in held:
                 yield x, start, n, self.sequence, offset
