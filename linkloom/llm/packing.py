@@ -67,7 +67,7 @@ class Packer:
     def add(self, x: _Example) -> Iterator[tuple]:
         self.size[len(self.waiting)] = x.total - x.start, 1, x.loss(x.start, x.total)
         self.waiting.append(x)
-        if len(self.waiting) == self.limits.window:
+        while len(self.waiting) == self.limits.window:
             yield from self._fill()
 
     def _longest(self, x: _Example) -> int:
