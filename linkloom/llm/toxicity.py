@@ -191,7 +191,8 @@ def fit(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative:
             changed = [y.astype(np.int32) if s != c else None for y, s, c in zip(lists(other), other, cleaned, strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([x.astype(np.int32) for x in lists(cleaned)], kind), pa.array(changed, kind)], names=["toxic", "grams", "changed"])
 
-    rows = learn.mapInArrow(find, "toxic int, grams array<int>, changed array<int>").orderBy("toxic", "grams", "changed").collect()  # the sample
+    rows = learn.mapInArrow(find, "toxic int, grams array<int>, changed array<int>").collect()  # the sample
+    rows.sort(key=lambda r: (r.toxic, r.grams, r.changed or []))
     weights, bias = train([np.array(r.grams, np.int64) for r in rows], [None if r.changed is None else np.array(r.changed, np.int64) for r in rows], np.array([r.toxic == 1 for r in rows]), len(codes), swap=swap)
     return Model(codes, weights, bias)
 
