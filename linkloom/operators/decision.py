@@ -55,10 +55,10 @@ def expected_lists(edges: DataFrame, kind: str = "series", missing: float = 0.0,
         c = m + b2 * (1 + F.col("__mu"))
         ef = (1 + b2) * (F.col("__1") / c + b2 * F.col("__2") / (c * c) + b2 * b2 * (F.col("__v") * F.col("__1") - F.col("__2") + 2 * F.col("__3")) / (c * c * c))
     # Sums in another order differ in the last digits: ties are judged on rounded values.
-    e = e.withColumn("ef", F.round(ef, 9)).withColumn("__max", F.max("ef").over(_all()))
-    e = e.withColumn("__at", F.min(F.when(F.col("ef") == F.col("__max"), F.col("rank"))).over(_all()))
+    e = e.withColumn("ef", ef).withColumn("__ef", F.round("ef", 9)).withColumn("__max", F.max("__ef").over(_all()))
+    e = e.withColumn("__at", F.min(F.when(F.col("__ef") == F.col("__max"), F.col("rank"))).over(_all()))
     sel = ~(F.round(F.col("__0") * empty_bias, 9) >= F.col("__max")) & (F.col("rank") <= F.col("__at"))
-    return e.withColumn("sel", sel).drop("__1", "__2", "__3", "__mu", "__v", "__0", "__max", "__at")
+    return e.withColumn("sel", sel).drop("__1", "__2", "__3", "__mu", "__v", "__0", "__ef", "__max", "__at")
 
 
 def poisson(rate: np.ndarray, size: int) -> np.ndarray:

@@ -82,8 +82,8 @@ _EF = """t AS (SELECT *, row_number() OVER (PARTITION BY s1 ORDER BY p DESC, can
 x AS (SELECT *, sum(p) OVER u AS a, sum(p * p) OVER u AS b, sum(p * p * p) OVER u AS c, sum(p) OVER g AS mu, sum(p * (1 - p)) OVER g AS v,
   round(exp(sum(ln(greatest(1 - p, 1e-300))) OVER g), 9) AS z
   FROM t WINDOW u AS (PARTITION BY s1 ORDER BY p DESC, cand ROWS UNBOUNDED PRECEDING), g AS (PARTITION BY s1)),
-f AS (SELECT *, round(FORMULA, 9) AS ef FROM x),
-h AS (SELECT *, max(ef) OVER (PARTITION BY s1) AS top FROM f), k AS (SELECT *, min(CASE WHEN ef = top THEN m END) OVER (PARTITION BY s1) AS best FROM h)
+f AS (SELECT *, FORMULA AS ef, round(FORMULA, 9) AS ef9 FROM x),
+h AS (SELECT *, max(ef9) OVER (PARTITION BY s1) AS top FROM f), k AS (SELECT *, min(CASE WHEN ef9 = top THEN m END) OVER (PARTITION BY s1) AS best FROM h)
 SELECT s1, cand, round(ef, 6) AS ef, (NOT (z >= top)) AND m <= best AS sel FROM k"""
 
 
