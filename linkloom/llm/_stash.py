@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from linkloom.llm.components import checkpoint_dir
 
@@ -20,6 +21,28 @@ def stash(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lookup(df: DataFrame, row_bytes: int, most: int = 48 << 20) -> DataFrame:
-    """``df`` marked for broadcast if its rows, counted, take ``most`` bytes at most; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.count() * row_bytes <= most else df
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` is called so."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
+def named(c: str) -> str:
+    """A column's name as an expression reads it, dots and all."""
+    return "`" + c.replace("`", "``") + "`"
+
+
+def mapped(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], columns: list[str]) -> DataFrame:
+    """``run`` over batches with all columns of ``df``, whatever their names; it returns those in ``columns``, in order."""
+    names, safe = df.columns, [f"c{i}" for i in range(len(df.columns))]
+    kinds = [f"{safe[names.index(c)]} {df.schema[names.index(c)].dataType.simpleString()}" for c in columns]
+
+    def renamed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(pa.RecordBatch.from_arrays(b.columns, names=names) for b in batches):
+            yield pa.RecordBatch.from_arrays(out.columns, names=[x.split(" ", 1)[0] for x in kinds])
+
+    return df.toDF(*safe).mapInArrow(renamed, ", ".join(kinds)).toDF(*columns)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm._stash import stash
+from linkloom.llm._stash import fresh, named, stash
 
 #: A line on so many sites is boilerplate.
 SITES = 10
@@ -17,12 +17,14 @@ SITES = 10
 NEAR = 0.1
 #: log2 of a sketch's registers.
 LG_K = 12
+#: Names of the counts that are added.
+COUNTS = ("__lines", "__removed")
 
 
 def _lines(docs: DataFrame, text_col: str, site_col: str) -> DataFrame:
     """``(line, site)`` hashes of every line with a word; a null site is a site of its own."""
-    line = F.explode(F.array_distinct(F.split(F.col(text_col), "\n"))).alias("line")
-    site = F.xxhash64(F.coalesce(F.concat(F.lit("s"), F.col(site_col).cast("string")), F.lit("n"))).alias("site")
+    line = F.explode(F.array_distinct(F.split(F.col(named(text_col)), "\n"))).alias("line")
+    site = F.xxhash64(F.coalesce(F.concat(F.lit("s"), F.col(named(site_col)).cast("string")), F.lit("n"))).alias("site")
     return docs.select(line, site).where("line RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'").select(F.xxhash64("line").alias("line"), "site")
 
 
@@ -47,22 +49,23 @@ def remove_boilerplate(docs: DataFrame, text_col: str = "text", site_col: str =
     texts have 0 lines with a word; every row is judged by its text, so repeated rows and null ids fare alike; a null
     site counts as one site; an empty table gives no rows; other columns pass through.
     """
+    KEY, WIDE, LINES, REMOVED = fresh(docs, "__key", "__wide", *COUNTS)
+    text = F.col(named(text_col))
     wide = stash(widespread(docs, text_col, site_col, sites))
-    key = F.xxhash64(F.col(text_col))
-    lines = docs.select(key.alias("__key"), F.explode(F.array_distinct(F.split(F.col(text_col), "\n"))).alias("line")).select("__key", F.xxhash64("line").alias("line")).distinct()
-    hit = lines.join(wide, "line").groupBy("__key").agg(F.collect_set("line").alias("__wide"))
-    hit = stash(hit)
-    size = hit.select(F.sum(F.size("__wide") * 8 + 32)).first()[0] or 0
-    joined = docs.join(F.broadcast(hit) if size <= 32 << 20 else hit, key == F.col("__key"), "left")
-    parts = F.coalesce(F.split(F.col(text_col), "\n"), F.array().cast("array<string>"))
+    key = F.xxhash64(text)
+    lines = docs.select(key.alias(KEY), F.explode(F.array_distinct(F.split(text, "\n"))).alias("line")).select(KEY, F.xxhash64("line").alias("line")).distinct()
+    hit = stash(lines.join(wide, "line").groupBy(KEY).agg(F.collect_set("line").alias(WIDE)))
+    size = hit.select(F.sum(F.size(WIDE) * 8 + 32)).first()[0] or 0
+    joined = docs.join(F.broadcast(hit) if size <= 32 << 20 else hit, key == F.col(KEY), "left")
+    parts = F.coalesce(F.split(text, "\n"), F.array().cast("array<string>"))
     worded = lambda x: x.rlike(r"[^\x20\x09-\x0D]")
-    gone = lambda x: F.array_contains(F.col("__wide"), F.xxhash64(x)) & worded(x)
+    gone = lambda x: F.array_contains(F.col(WIDE), F.xxhash64(x)) & worded(x)
     chars = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + F.length(x))
     worded_lines, cut = F.filter(parts, worded), F.filter(parts, gone)
-    few = F.col("__wide").isNotNull() & (chars(cut) <= chars(worded_lines) * most)
-    text = F.when(few, F.array_join(F.filter(parts, lambda x: ~gone(x)), "\n")).otherwise(F.col(text_col))
-    columns = [text.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return joined.select(*columns, F.size(worded_lines).cast("long").alias("__lines"), F.when(few, F.size(cut)).otherwise(0).cast("long").alias("__removed"))
+    few = F.coalesce(F.col(WIDE).isNotNull() & (chars(cut) <= chars(worded_lines) * most), F.lit(False))
+    left = F.when(few, F.array_join(F.filter(parts, lambda x: ~gone(x)), "\n")).otherwise(text)
+    columns = [left.alias(c) if c == text_col else F.col(named(c)) for c in docs.columns]
+    return joined.select(*columns, F.size(worded_lines).cast("long").alias(LINES), F.when(few, F.size(cut)).otherwise(0).cast("long").alias(REMOVED))
 
 
 def report(docs: DataFrame, sites: int = SITES) -> DataFrame:

@@ -142,7 +142,7 @@ def backoff(words: np.ndarray, counts: np.ndarray, totals: list[np.ndarray], eve
         short[start.astype(np.int64)] = True
         hit = (c > 0) & ~short
         score = np.where(hit, np.log(np.where(hit, c, 1) / np.where(hit, np.maximum(context, 1), 1)), np.where(short, score, score + np.log(alpha)))
-    return np.bincount(row, weights=score, minlength=len(counts))
+    return np.bincount(row, weights=score, minlength=len(counts)).astype(np.float64)
 
 
 def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK, part_grams: int = PART, alpha: float = ALPHA) -> DataFrame:

@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkloom.llm._stash import fresh, named
 from linkloom.llm._text import STEP, U64, pieces, signed, spans, texts
 from linkloom.llm.components import connected_components, cut
 
@@ -200,8 +201,9 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Of a class without any id all rows stay; rows that repeat the id and text of one that stays are that document and
     stay. The others' keys are broadcast if they take ``most`` bytes at most, else joined by a shuffle.
     """
-    key = F.xxhash64(id_col, text_col)
-    keyed = docs.select(key.alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    (ROW,) = fresh(docs, "__row")
+    ident, text = F.col(named(id_col)), F.col(named(text_col))
+    keyed = docs.select(F.xxhash64(ident, text).alias("row"), ident.cast("long").alias("doc_id"), text.alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, "text"):
@@ -209,6 +211,6 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(signed(fp))], names=["row", "doc_id", "fp"])
 
     fps = cut(keyed.mapInArrow(run, "row long, doc_id long, fp long"))
-    gone = cut(fps.join(_classes(fps.select("doc_id", "fp"), bits, parts), "fp").where("NOT doc_id <=> component_id").select(F.col("row").alias("__row")).distinct())
+    gone = cut(fps.join(_classes(fps.select("doc_id", "fp"), bits, parts), "fp").where("NOT doc_id <=> component_id").select(F.col("row").alias(ROW)).distinct())
     gone = F.broadcast(gone) if gone.count() * 16 <= most else gone
-    return docs.join(gone, F.xxhash64(docs[id_col], docs[text_col]) == F.col("__row"), "left_anti")
+    return docs.join(gone, F.xxhash64(ident, text) == F.col(ROW), "left_anti")

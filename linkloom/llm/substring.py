@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm._stash import stash
+from linkloom.llm._stash import fresh, mapped, named, stash
 from linkloom.llm._text import U64, mix, pieces, signed, spans, texts, word_hashes
 
 #: Rounds of recompression: with four, a window of 50 words holds about nine symbols of its own.
@@ -254,13 +254,16 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
     id counts as larger than all; rows of one id never cut each other, and repeated rows fare alike; an empty table
     gives no rows; further columns pass through untouched, whatever their names.
     """
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("rank"), F.xxhash64(id_col, text_col).alias("rid"), F.col(text_col).alias("text"))
+    RID, FIRST, LAST = fresh(docs, "__rid", "__first", "__last")
+    key, text = F.col(named(id_col)), F.col(named(text_col))
+    row = F.xxhash64(key, text)
+    base = docs.select(F.coalesce(key.cast("long"), F.lit(_LAST)).alias("rank"), row.alias("rid"), text.alias("text"))
     # Rows alike in id and text are one here; each finds its ranges again below.
     gone = stash(repeats(base, size))
     small = (gone.select(F.sum(F.size("first") * 8 + 32)).first()[0] or 0) <= 48 << 20
-    gone = gone.select(F.col("rid").alias("__rid"), F.col("first").alias("__first"), F.col("last").alias("__last"))
-    joined = docs.join(F.broadcast(gone) if small else gone, F.xxhash64(docs[id_col], docs[text_col]) == F.col("__rid"), "left")
-    ranges = lambda b, i: merged(b.column("__first")[i].as_py(), b.column("__last")[i].as_py(), size) if b.column("__first")[i].is_valid else []
+    gone = gone.select(F.col("rid").alias(RID), F.col("first").alias(FIRST), F.col("last").alias(LAST))
+    joined = docs.join(F.broadcast(gone) if small else gone, row == F.col(RID), "left")
+    ranges = lambda b, i: merged(b.column(FIRST)[i].as_py(), b.column(LAST)[i].as_py(), size) if b.column(FIRST)[i].is_valid else []
 
     if output == "digest":
 
@@ -273,19 +276,19 @@ def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text
                 n, removed, sha = zip(*out, strict=True)
                 yield _batch(doc_id=b.column("doc_id"), n_words=pa.array(n, pa.int64()), n_removed=pa.array(removed, pa.int64()), kept_sha256=pa.array(sha, pa.string()))
 
-        cols = [F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), "__first", "__last"]
+        cols = [key.cast("long").alias("doc_id"), text.alias("text"), FIRST, LAST]
         return joined.select(*cols).mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
     def rewrite(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, text_col):
             column = b.column(text_col)
-            if b.column("__first").null_count < b.num_rows:
+            if b.column(FIRST).null_count < b.num_rows:
                 new = [None if x is None else x.decode() for x in column.cast(pa.binary()).to_pylist()]
                 for i, x in enumerate(new):
-                    if x is not None and b.column("__first")[i].is_valid:
+                    if x is not None and b.column(FIRST)[i].is_valid:
                         new[i] = b" ".join(cut_words(x.encode(), ranges(b, i))[2]).decode()
                 column = pa.array(new, pa.string())
-            names = [k for k in b.schema.names if k not in ("__rid", "__first", "__last")]
+            names = [k for k in b.schema.names if k not in (RID, FIRST, LAST)]
             yield pa.RecordBatch.from_arrays([column if k == text_col else b.column(k) for k in names], names=names)
 
-    return joined.mapInArrow(rewrite, docs.schema)
+    return mapped(joined, rewrite, docs.columns)

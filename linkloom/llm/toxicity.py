@@ -23,7 +23,11 @@ GRAM = 6
 #: Bounds of what is fitted: rows of either class, and grams of the model.
 POSITIVE, NEGATIVE, GRAMS = 4000, 8000, 4096
 #: A gram must stand in so many sampled documents.
-SUPPORT = 8
+SUPPORT = 4
+#: And its frequencies in the two classes must be so many standard errors apart.
+LIFT = 2.5
+#: A gram is a marker if it is so many times as frequent in toxic documents.
+RATIO = 4.0
 #: Groups named in neutral mentions; a swap takes the next term of the same set.
 IDENTITY = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
@@ -151,7 +155,7 @@ def _sample(labels: DataFrame, positive: int, negative: int) -> DataFrame:
     return pick(1, positive).unionByName(pick(0, negative))
 
 
-def fit(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative: int = NEGATIVE, grams: int = GRAMS, support: int = SUPPORT, swap: float = 10.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative: int = NEGATIVE, grams: int = GRAMS, support: int = SUPPORT, least_lift: float = LIFT, swap: float = 10.0) -> Model:
     """The model from at most ``positive`` + ``negative`` labelled rows; the rest is never looked at."""
     sample = F.broadcast(_sample(labels, positive, negative))  # at most positive + negative rows
     learn = docs.join(sample, docs["doc_id"] == sample["label_id"]).select("text", F.col("toxic").cast("int").alias("toxic"))
@@ -174,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative:
     freq = learn.mapInArrow(count, "code long, pos long, n long").groupBy("code").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).where(F.col("n") >= support)
     p1, p0 = (F.col("pos") + 0.5) / (n1 + 1), (F.col("n") - F.col("pos") + 0.5) / (n0 + 1)
     lift = F.abs(p1 - p0) / F.sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0)
-    picked = freq.orderBy(F.desc(lift), "code").limit(grams).select("code").collect()  # GRAMS rows at most
+    picked = freq.where((lift >= least_lift) & (p1 >= RATIO * p0)).orderBy(F.desc(lift), "code").limit(grams).select("code").collect()  # GRAMS rows at most
     codes = np.sort(np.array([r.code for r in picked], np.int64).view(U64))
     blank = Model(codes, np.zeros(len(codes)), 0.0)
     shared = docs.sparkSession.sparkContext.broadcast(blank)
