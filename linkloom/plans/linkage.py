@@ -361,7 +361,7 @@ def confusion(spark, sf):
     return edges(spark, sf).groupBy((F.col("p") >= 0.5).cast("int").alias("a"), F.col("label").alias("b")).agg(F.count("*").alias("n"), F.count_distinct("s1").alias("n_s1"))
 
 
-@query("""WITH {E}, k AS (SELECT unnest([0.3, 0.4, 0.5, 0.55, 0.6, 0.65, 0.7, 0.8]) AS t),
+@query("""WITH {E}, k AS (SELECT CAST(unnest([0.3, 0.4, 0.5, 0.55, 0.6, 0.65, 0.7, 0.8]) AS DOUBLE) AS t),
 x AS (SELECT t, s1, count(*) FILTER (WHERE label = 1) AS k, count(*) FILTER (WHERE p >= t) AS m, count(*) FILTER (WHERE p >= t AND label = 1) AS tp FROM e CROSS JOIN k GROUP BY t, s1)
 SELECT t, round(avg(CASE WHEN k = 0 AND m = 0 THEN 1.0 WHEN tp = 0 THEN 0.0 ELSE 1.25 * tp / (0.25 * k + m) END), 6) AS macro_f FROM x GROUP BY t""")
 def threshold_grid(spark, sf):

@@ -28,5 +28,5 @@ def sessions(events: DataFrame, gap: int) -> DataFrame:
 def watch(spark: SparkSession, path: str, late: str = "1 hour") -> DataFrame:
     """A stream of events from Parquet files: each event once, in windows of an hour by event time."""
     schema = spark.read.parquet(path).schema
-    e = spark.readStream.schema(schema).parquet(path).withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
+    e = spark.readStream.schema(schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
     return e.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
