@@ -25,8 +25,17 @@ def sessions(events: DataFrame, gap: int) -> DataFrame:
     return e.withColumn("sid", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))).groupBy("user_id", "sid").agg(F.count("*").alias("n"))
 
 
-def watch(spark: SparkSession, path: str, late: str = "1 hour") -> DataFrame:
-    """A stream of events from Parquet files: each event once, in windows of an hour by event time."""
-    schema = spark.read.parquet(path).schema
-    e = spark.readStream.schema(schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).dropDuplicatesWithinWatermark(["event_id"])
-    return e.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+def source(spark: SparkSession, folder: str, files: str = "*.parquet", late: str = "1 hour") -> DataFrame:
+    """A stream of events from the Parquet files of a folder; ``late``: how far behind the latest event one may come."""
+    schema = spark.read.option("pathGlobFilter", files).parquet(folder).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", files).parquet(folder).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+
+
+def unique(stream: DataFrame) -> DataFrame:
+    """Each event once, remembered as long as the watermark says."""
+    return stream.dropDuplicatesWithinWatermark(["event_id"])
+
+
+def watch(stream: DataFrame) -> DataFrame:
+    """Counts and sums by type in windows of an hour of event time."""
+    return stream.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))

@@ -59,10 +59,11 @@ def test_entry_points(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-def test_stream_counts_each_event_once(spark):
+@pytest.mark.parametrize(("kind", "mode"), [("unique", "append"), ("watch", "complete")])
+def test_streams_see_each_event_once(spark, kind, mode):
     from linkloom.streaming import events
 
-    q = events.watch(spark, f"{SF}/events.parquet").writeStream.format("memory").queryName("watched").outputMode("append").trigger(availableNow=True).start()
+    q = getattr(events, kind)(events.source(spark, SF, "events.parquet")).writeStream.format("memory").queryName(f"seen_{kind}").outputMode(mode).trigger(availableNow=True).start()
     assert q.awaitTermination(120)
-    n = spark.sql("SELECT coalesce(sum(n), 0) FROM watched").first()[0]
-    assert 0 < n <= spark.read.parquet(f"{SF}/events.parquet").count()
+    n = spark.sql(f"SELECT {'count(*)' if kind == 'unique' else 'sum(n)'} FROM seen_{kind}").first()[0]
+    assert n == spark.read.parquet(f"{SF}/events.parquet").count()
