@@ -140,7 +140,7 @@ class WordTokenizer:
     Words seen lately are remembered; the tokenizer must lower-case, so A-Z are lowered before. A text that could hold a special token goes through the tokenizer as a whole.
     """
 
-    def __init__(self, path: str, most: int = 550_000):
+    def __init__(self, path: str, most: int = 650_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.recent = Tokenizer.from_file(path), Recent(most, self.learn)
