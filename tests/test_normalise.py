@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.functions import names, scripts
+from linkloom.functions import addresses, names, scripts
 from linkloom.functions.fuzzy import jaro_winkler
 from linkloom.operators import dictionary
 
@@ -123,3 +123,34 @@ def test_snapping(spark):
     w = spark.createDataFrame([("kampani",), ("zzz",), ("",)], "word string")
     v = spark.createDataFrame([("company", 900), ("kampany", 3), ("compania", 900)], "token string, n int")
     assert {r.word: r.snapped for r in dictionary.snapped(w, v).collect()} == {"kampani": "company", "zzz": "zzz", "": ""}
+
+
+@pytest.mark.parametrize(
+    ("address", "country", "want"),
+    [
+        ("007 Main Street Suite 100, PMB 4432, Springfield, IL", "US", {"addr_norm": "7 main st unit 100 springfield il", "house_nums": ["7"], "unit_nums": ["100"], "street_type": "st", "street_key": "main", "city_cands": ["springfield"], "state_key": "il"}),
+        ("221B N. Oak Ave., Washington, DC", "US", {"house_nums": ["221b"], "house_base": ["221"], "city_cands": ["washington"], "state_key": "dc"}),
+        ("H.No 31-7-15/A, Plot No. 66, Near City Mall, MG Road, Bengaluru 560001, KA", "India", {"house_nums": ["31-7-15/a", "66"], "designated": {"hno": ["31-7-15/a"], "plot": ["66"]}, "landmarks": ["near city mall"], "postcodes": ["560001"], "city_cands": ["bengaluru", "bangalore"], "state_key": "karnataka"}),
+        ("B-1201, दिल्ली", "India", {"house_nums": ["b1201"], "state_key": "delhi"}),
+        ("12 bis Rue de la Paix, Lille", "France", {"house_nums": ["12b"], "street_key": "paix", "state_key": "hauts de france", "department": "nord"}),
+        ("null, , N/A", "US", {"addr_norm": "", "house_nums": [], "state_key": "", "city_cands": []}),
+        (None, None, {"addr_norm": "", "state_key": "", "street_type": None}),
+    ],
+)
+def test_addresses(address, country, want):
+    got = addresses.parsed(address, country)
+    assert {k: got[k] for k in want} == want
+
+
+@pytest.mark.parametrize(("token", "want"), [("004007", "4007"), ("000", "0"), ("1804A", "1804a"), ("8bis", "8b"), ("33ter", "33t"), ("B-1201", "b1201"), ("31-07-15/A", "31-7-15/a"), ("no34", "34")])
+def test_house_numbers(token, want):
+    assert addresses.number(token) == want
+
+
+def test_city_of_most_addresses(spark):
+    rows = [(1, "1 A St, Foo, Bar, TX", "US"), (2, "2 B St, Foo, TX", "US"), (3, "3 C St, Foo, TX", "US"), (4, "4 D St, Aaa, Bbb, TX", "US"), (5, None, None), (6, "1 A St, Foo, Bar, TX", "US")]
+    df = spark.createDataFrame(rows, "id int, business_address string, country string")
+    assert {r.id: r.city_key for r in addresses.address_columns(df).collect()} == {1: "foo", 2: "foo", 3: "foo", 4: "bbb", 5: "", 6: "foo"}
+    prior = spark.createDataFrame([("US", "bar", 9)], "country string, city string, n long")
+    assert {r.id: r.city_key for r in addresses.address_columns(df, prior=prior).collect()}[1] == "bar"
+    assert addresses.address_columns(df.limit(0)).count() == 0

@@ -9,11 +9,11 @@ from glob import glob
 import pytest
 
 duckdb = pytest.importorskip("duckdb")
-from linkloom.plans import linkage, records, tables  # noqa: E402
+from linkloom.plans import linkage, normalise, records, tables  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-QUERIES = linkage.QUERIES | records.QUERIES | tables.QUERIES
-ORACLES = linkage.ORACLES | records.ORACLES | tables.ORACLES
+QUERIES = linkage.QUERIES | records.QUERIES | normalise.QUERIES | tables.QUERIES
+ORACLES = linkage.ORACLES | records.ORACLES | normalise.ORACLES | tables.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +42,7 @@ def test_equals_sql(spark, db, name):
         assert x == y or all(p == q or isinstance(p, float) and abs(p - q) <= 2e-5 for p, q in zip(x, y, strict=True))
 
 
-@pytest.mark.parametrize("name", ["ef_exact", "conflict_repair", "em_prior_shift", "fuzzy_scores", "isotonic_calibration", "gbt_oof"])
+@pytest.mark.parametrize("name", ["ef_exact", "conflict_repair", "em_prior_shift", "fuzzy_scores", "isotonic_calibration", "gbt_oof", "name_normalise", "address_normalise", "native_dictionary"])
 def test_rows_of_the_others(spark, name):
     out = QUERIES[name](spark, SF)
     assert out.count() > 0
