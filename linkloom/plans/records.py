@@ -161,11 +161,15 @@ def city_vote_alt_block(spark, sf):
     return c.where("n >= 20 AND k >= 0.2 * n").select("country", "state_key", "n", F.round(F.col("k") / F.col("n"), 6).alias("share"))
 
 
+def token_pairs(r: DataFrame) -> DataFrame:
+    """Pairs that share a name's word, from the capped pass."""
+    return _pairs(_tokens(r).withColumnRenamed("t", "key"), 10, 20)
+
+
 def _name_pairs(r: DataFrame) -> DataFrame:
     """Pairs with the token sets of both names, from the capped name pass."""
     side = r.select("id", F.array_distinct(text.tokens(F.col("name_core"))).alias("t"), "name_core")
-    j = _pairs(_tokens(r).withColumnRenamed("t", "key"), 10, 20)
-    return j.join(side.select(F.col("id").alias("qi"), F.col("t").alias("tq"), F.col("name_core").alias("nq")), "qi").join(side.select(F.col("id").alias("pi"), F.col("t").alias("tp"), F.col("name_core").alias("np")), "pi")
+    return token_pairs(r).join(side.select(F.col("id").alias("qi"), F.col("t").alias("tq"), F.col("name_core").alias("nq")), "qi").join(side.select(F.col("id").alias("pi"), F.col("t").alias("tp"), F.col("name_core").alias("np")), "pi")
 
 
 _NP = _T + ", tt AS (SELECT id, t AS key, state_key AS blk, side FROM t WHERE length(t) >= 3), q AS (SELECT * FROM tt WHERE side = 0), p AS (SELECT id, key, blk FROM tt WHERE side > 0), " + _CAP.format(cap=10, block=20) + ", st AS (SELECT id, list_distinct(list_filter(string_split(name_core, ' '), lambda x: x <> '')) AS t, name_core FROM r), np AS (SELECT qi, pi, a.t AS tq, b.t AS tp, a.name_core AS nq, b.name_core AS np FROM j JOIN st a ON a.id = qi JOIN st b ON b.id = pi)"

@@ -42,7 +42,7 @@ def test_equals_sql(spark, db, name):
         assert x == y or all(p == q or isinstance(p, float) and abs(p - q) <= 2e-5 for p, q in zip(x, y, strict=True))
 
 
-@pytest.mark.parametrize("name", ["ef_exact", "conflict_repair", "em_prior_shift", "fuzzy_scores", "isotonic_calibration", "gbt_oof", "name_normalise", "address_normalise", "native_dictionary"])
+@pytest.mark.parametrize("name", ["ef_exact", "conflict_repair", "em_prior_shift", "fuzzy_scores", "isotonic_calibration", "gbt_oof", "name_normalise", "address_normalise", "native_dictionary", "pair_features"])
 def test_rows_of_the_others(spark, name):
     out = QUERIES[name](spark, SF)
     assert out.count() > 0
