@@ -201,7 +201,6 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Of a class without any id all rows stay; rows that repeat the id and text of one that stays are that document and
     stay. The others' keys are broadcast if they take ``most`` bytes at most, else joined by a shuffle.
     """
-    (ROW,) = fresh(docs, "__row")
     ident, text = F.col(named(id_col)), F.col(named(text_col))
     keyed = docs.select(F.xxhash64(ident, text).alias("row"), ident.cast("long").alias("doc_id"), text.alias("text"))
 
@@ -211,6 +210,13 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(signed(fp))], names=["row", "doc_id", "fp"])
 
     fps = cut(keyed.mapInArrow(run, "row long, doc_id long, fp long"))
-    gone = cut(fps.join(_classes(fps.select("doc_id", "fp"), bits, parts), "fp").where("NOT doc_id <=> component_id").select(F.col("row").alias(ROW)).distinct())
+    gone = fps.join(_classes(fps.select("doc_id", "fp"), bits, parts), "fp").where("NOT doc_id <=> component_id")
+    return without(docs, gone, id_col, text_col, most)
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = 32 << 20) -> DataFrame:
+    """``docs`` without the rows whose id and text have a hash in ``gone (row)``; the hashes are broadcast if they take ``most`` bytes at most."""
+    (ROW,) = fresh(docs, "__row")
+    gone = cut(gone.select(F.col("row").alias(ROW)).distinct())
     gone = F.broadcast(gone) if gone.count() * 16 <= most else gone
-    return docs.join(gone, F.xxhash64(ident, text) == F.col(ROW), "left_anti")
+    return docs.join(gone, F.xxhash64(F.col(named(id_col)), F.col(named(text_col))) == F.col(ROW), "left_anti")
