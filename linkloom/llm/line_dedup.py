@@ -40,15 +40,16 @@ def widespread(docs: DataFrame, text_col: str = "text", site_col: str = "source"
     return sure.unionByName(exact)
 
 
-def remove_boilerplate(docs: DataFrame, text_col: str = "text", site_col: str = "source", sites: int = SITES, most: float = 0.5, repeated: bool = False) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, text_col: str = "text", site_col: str = "source", sites: int = SITES, spare_repeated: float | None = None) -> DataFrame:
     """The rows of ``docs`` with widespread lines cut out of the text, and ``__lines``, ``__removed`` counts.
 
-    Lines are what lies between newlines, compared as they are; lines without a word are never removed. A document more
-    than ``most`` of whose characters (in lines with a word) are widespread is itself a copy, not a page around
-    boilerplate: it stays as it is, for near-duplicate removal to judge. With ``repeated`` that holds only for texts that
-    occur more than once; all others lose every widespread line, whatever the share. Null texts stay null with 0 lines; empty
-    texts have 0 lines with a word; every row is judged by its text, so repeated rows and null ids fare alike; a null
-    site counts as one site; an empty table gives no rows; other columns pass through.
+    Lines are what lies between newlines, compared as they are; lines without a word are never removed. Every document
+    loses every widespread line, whatever their share. ``spare_repeated`` (off by default): a text that occurs more than
+    once, and of whose characters (in lines with a word) more than that share is widespread, stays as it is, for
+    near-duplicate removal to judge. Null texts stay null with 0 lines; empty texts have 0 lines with a word; a very long
+    text is one row's array of lines, and its hits are the set of its different widespread lines; every row is judged by
+    its text, so repeated rows and null ids fare alike; a null site counts as one site; an empty table gives no rows;
+    other columns pass through.
     """
     KEY, WIDE, ALONE, LINES, REMOVED = fresh(docs, "__key", "__wide", "__alone", *COUNTS)
     text = F.col(named(text_col))
@@ -56,11 +57,11 @@ def remove_boilerplate(docs: DataFrame, text_col: str = "text", site_col: str =
     key = F.xxhash64(text)
     lines = docs.select(key.alias(KEY), F.explode(F.array_distinct(F.split(text, "\n"))).alias("line")).select(KEY, F.xxhash64("line").alias("line")).distinct()
     hit = lines.join(wide, "line").groupBy(KEY).agg(F.collect_set("line").alias(WIDE))
-    if repeated:
+    if spare_repeated is not None:
         alone = docs.groupBy(key.alias(KEY)).agg((F.count("*") == 1).alias(ALONE))
         hit = hit.join(alone, KEY)
     else:
-        hit = hit.withColumn(ALONE, F.lit(False))
+        hit = hit.withColumn(ALONE, F.lit(True))
     hit = stash(hit)
     size = hit.select(F.sum(F.size(WIDE) * 8 + 32)).first()[0] or 0
     joined = docs.join(F.broadcast(hit) if size <= 32 << 20 else hit, key == F.col(KEY), "left")
@@ -69,7 +70,7 @@ def remove_boilerplate(docs: DataFrame, text_col: str = "text", site_col: str =
     gone = lambda x: F.array_contains(F.col(WIDE), F.xxhash64(x)) & worded(x)
     chars = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + F.length(x))
     worded_lines, cut = F.filter(parts, worded), F.filter(parts, gone)
-    few = F.coalesce(F.col(WIDE).isNotNull() & (F.col(ALONE) | (chars(cut) <= chars(worded_lines) * most)), F.lit(False))
+    few = F.coalesce(F.col(WIDE).isNotNull() & (F.col(ALONE) | (chars(cut) <= chars(worded_lines) * (spare_repeated or 0.0))), F.lit(False))
     left = F.when(few, F.array_join(F.filter(parts, lambda x: ~gone(x)), "\n")).otherwise(text)
     columns = [left.alias(c) if c == text_col else F.col(named(c)) for c in docs.columns]
     return joined.select(*columns, F.size(worded_lines).cast("long").alias(LINES), F.when(few, F.size(cut)).otherwise(0).cast("long").alias(REMOVED))
@@ -91,9 +92,8 @@ wide AS (SELECT line FROM w WHERE worded GROUP BY line HAVING count(DISTINCT sit
 m AS (SELECT w.*, wide.line IS NOT NULL AS hit FROM w LEFT JOIN wide ON w.line = wide.line AND worded),
 s AS (
   SELECT rid, count(*) FILTER (WHERE worded) AS n_lines, count(*) FILTER (WHERE hit) AS n_wide,
-    coalesce(sum(length(line)) FILTER (WHERE hit), 0) AS c_wide, coalesce(sum(length(line)) FILTER (WHERE worded), 0) AS c_all,
     coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT hit), '') AS rest
   FROM m GROUP BY rid),
-f AS (SELECT doc_id, n_lines, n_wide > 0 AND c_wide <= 0.5 * c_all AS cut, n_wide, CASE WHEN n_wide > 0 AND c_wide <= 0.5 * c_all THEN rest ELSE text END AS text FROM d JOIN s USING (rid))
-SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(CASE WHEN cut THEN n_wide ELSE 0 END AS BIGINT) AS n_removed, CAST(length(text) AS BIGINT) AS kept_chars, sha256(text) AS kept_sha256 FROM f
+f AS (SELECT doc_id, n_lines, n_wide, CASE WHEN n_wide > 0 THEN rest ELSE text END AS text FROM d JOIN s USING (rid))
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_wide AS BIGINT) AS n_removed, CAST(length(text) AS BIGINT) AS kept_chars, sha256(text) AS kept_sha256 FROM f
 """
