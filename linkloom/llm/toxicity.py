@@ -1,8 +1,10 @@
-"""Toxicity: a counterfactual-regularised logistic model on character 6-grams.
+"""Toxicity: a counterfactual-regularised logistic model on the beginnings of words.
 
-Training reads a bounded sample of labelled rows. Grams are picked by how far their document frequency differs between
-the classes, then weighted by logistic regression whose loss adds the squared change of a sentence's score when
-its identity terms are swapped for others of their set. What tells group mentions apart is so driven out of the weights.
+Training reads a bounded sample of labelled rows. A mark is a word's beginning of LEAST to MOST bytes, or a whole word up
+to MOST - 1 bytes, and how often it stands in the document (once, twice, three times or more). Marks are picked by
+how far their document frequency differs between the classes, then weighted by logistic regression whose loss adds
+the squared change of a sentence's score when its identity terms are swapped for others of their set. What tells group
+mentions apart is so driven out of the weights.
 """
 
 from __future__ import annotations
@@ -19,15 +21,14 @@ from pyspark.sql import functions as F
 
 from linkloom.llm._text import U64, pieces, texts
 
-GRAM = 6
-#: Bounds of what is fitted: rows of either class, and grams of the model.
-POSITIVE, NEGATIVE, GRAMS = 4000, 8000, 4096
-#: A gram must stand in so many sampled documents.
-SUPPORT = 4
-#: And its frequencies in the two classes must be so many standard errors apart.
-LIFT = 2.5
-#: A gram is a marker if it is so many times as frequent in toxic documents.
-RATIO = 4.0
+#: Bytes of a word's beginning, and occurrences that are told apart.
+LEAST, MOST, LEVELS = 3, 8, 3
+#: Bounds of what is fitted: rows of either class, and marks of the model.
+POSITIVE, NEGATIVE, MARKS = 4000, 8000, 4096
+#: A mark must stand in so many sampled documents, its frequencies in the two classes must be so many standard errors
+#: apart, and it must be so many times as frequent in toxic documents. Chosen by five-fold cross-validation on rows that
+#: are not held out (sf0.01, sf0.1).
+SUPPORT, LIFT, RATIO = 2, 1.5, 4.0
 #: Groups named in neutral mentions; a swap takes the next term of the same set.
 IDENTITY = (
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
@@ -39,51 +40,68 @@ IDENTITY = (
     ("immigrants", "natives", "refugees"),
     ("disabled", "deaf", "blind"),
     ("frauen", "männer"),
+    ("frau", "mann"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("einwanderer", "flüchtlinge", "einheimische"),
     ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("immigrés", "réfugiés"),
     ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("inmigrantes", "refugiados"),
 )
 _NEXT = {w.encode(): group[(i + 1) % len(group)].encode() for group in IDENTITY for i, w in enumerate(group)}
-_WORD = re.compile(rb"(?<![^\x20\x09-\x0d.,;:!?\"'()\-])(" + b"|".join(sorted(_NEXT, key=len, reverse=True)) + rb")(?![^\x20\x09-\x0d.,;:!?\"'()\-])")
-_SPACE = bytes(32 if b in b"\t\n\x0b\x0c\r" else b for b in range(256))
-_SHIFTS = [U64(8 * (GRAM - 1 - k)) for k in range(GRAM)]
+_WORD = re.compile(rb"(?<![^ ])(" + b"|".join(sorted(_NEXT, key=len, reverse=True)) + rb")(?![^ ])")
+_SPACE = bytes(32 if b <= 32 or bytes([b]) in b".,;:!?\"'()-" else b for b in range(256))
 
 
 def swapped(text: bytes) -> bytes:
-    """A lower-cased text with each identity term replaced by the next of its set."""
+    """A cleaned text with each identity term replaced by the next of its set."""
     return _WORD.sub(lambda m: _NEXT[m[1]], text)
 
 
 def clean(text: bytes) -> bytes:
+    """Lower-cased (A-Z), with a space for each white space, control character and common punctuation mark."""
     return text.lower().translate(_SPACE)
 
 
-def gram_codes(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The 6 bytes at each place of the cleaned texts as a number, and the row of each place."""
-    sep = b"\x00" * GRAM + b" "
-    joined = sep + sep.join(docs) + b" " + sep
-    data = np.frombuffer(joined, np.uint8)
-    n = len(data) - GRAM + 1
-    code = np.zeros(n, U64)
-    for k, s in enumerate(_SHIFTS):
-        code |= data[k : k + n].astype(U64) << s
-    sizes = np.array([len(x) for x in docs], np.int64) + len(sep)
-    row = np.repeat(np.arange(len(docs)), sizes)[:n]
-    ok = np.ones(n, bool)
-    zero = data == 0
-    for k in range(GRAM):
-        ok &= ~zero[k : k + n]
-    ok = ok[: len(row)]
-    return code[: len(row)][ok], row[ok]
+def marks(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different marks of each cleaned text: bytes as a number (padded by zeros; a space ends a whole word), text, occurrences."""
+    gap = b" " + bytes(MOST)
+    data = np.frombuffer(gap + gap.join(docs) + gap, np.uint8)
+    sizes = np.array([len(x) for x in docs], np.int64) + len(gap)
+    ends = np.cumsum(sizes) + len(gap) - 1
+    blank = (data == 32) | (data == 0)
+    at = np.nonzero(~blank[1:] & blank[:-1])[0] + 1
+    row = np.searchsorted(ends, at, "right")
+    code, codes, rows = np.zeros(len(at), U64), [], []
+    for k in range(MOST):
+        byte = data[at + k].astype(U64) << U64(56 - 8 * k)
+        over = blank[at + k]
+        codes.append(code[over] | U64(32 << (56 - 8 * k)))
+        rows.append(row[over])
+        at, row, code = at[~over], row[~over], (code | byte)[~over]
+        if k + 1 >= LEAST:
+            codes.append(code)
+            rows.append(row)
+    code, row = np.concatenate(codes), np.concatenate(rows)
+    order = np.lexsort((code, row))
+    code, row = code[order], row[order]
+    first = np.nonzero(np.concatenate(([True], (code[1:] != code[:-1]) | (row[1:] != row[:-1]))))[0] if len(code) else np.zeros(0, np.int64)
+    return code[first], row[first], np.diff(np.append(first, len(code)))
 
 
 @dataclass
 class Model:
+    """``codes`` in order, and a weight for each of them at each level; a mark has those of all levels that it reaches."""
+
     codes: np.ndarray
     weights: np.ndarray
     bias: float
 
     def __post_init__(self) -> None:
-        self.codes = np.sort(self.codes) if len(self.weights) == 0 else self.codes
         self.slots = np.zeros(1 << 20, bool)
         self.slots[self._slot(self.codes)] = True
 
@@ -92,16 +110,20 @@ class Model:
         return ((codes * U64(0x9E3779B97F4A7C15)) >> U64(44)).astype(np.int64)
 
     def hits(self, docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct (row, gram number) of the model's grams in cleaned texts."""
+        """(text, number of the code times LEVELS + level) of the model's marks in cleaned texts."""
+        none = np.zeros(0, np.int64)
         if not docs or not len(self.codes):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        code, row = gram_codes(docs)
+            return none, none
+        code, row, n = marks(docs)
         maybe = self.slots[self._slot(code)]
-        code, row = code[maybe], row[maybe]
+        code, row, n = code[maybe], row[maybe], n[maybe]
         at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
         ok = self.codes[at] == code
-        both = np.unique(row[ok] * len(self.codes) + at[ok])
-        return both // len(self.codes), both % len(self.codes)
+        at, row, n = at[ok], row[ok], n[ok]
+        out = [(row[n > k], at[n > k] * LEVELS + k) for k in range(LEVELS)]
+        row, at = np.concatenate([r for r, _ in out]), np.concatenate([a for _, a in out])
+        order = np.lexsort((at, row))
+        return row[order], at[order]
 
     def score(self, docs: list[bytes]) -> np.ndarray:
         row, at = self.hits(docs)
@@ -110,7 +132,7 @@ class Model:
 
 
 def train(rows: list[np.ndarray], changed: list[np.ndarray | None], label: np.ndarray, size: int, ridge: float = 2e-4, swap: float = 10.0, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic weights by accelerated gradient steps. ``changed``: a row's grams after the swap, None if it is the same.
+    """Logistic weights by accelerated gradient steps. ``changed``: a row's marks after the swap, None if it is the same.
 
     Loss: class-balanced log loss + ridge * |w|^2 + swap * mean over swapped rows of (w . (x - x'))^2.
     """
@@ -155,57 +177,61 @@ def _sample(labels: DataFrame, positive: int, negative: int) -> DataFrame:
     return pick(1, positive).unionByName(pick(0, negative))
 
 
-def fit(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative: int = NEGATIVE, grams: int = GRAMS, support: int = SUPPORT, least_lift: float = LIFT, swap: float = 10.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, positive: int = POSITIVE, negative: int = NEGATIVE, most: int = MARKS, support: int = SUPPORT, least_lift: float = LIFT, swap: float = 10.0) -> Model:
     """The model from at most ``positive`` + ``negative`` labelled rows; the rest is never looked at."""
     sample = F.broadcast(_sample(labels, positive, negative))  # at most positive + negative rows
     learn = docs.join(sample, docs["doc_id"] == sample["label_id"]).select("text", F.col("toxic").cast("int").alias("toxic"))
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, most=8 << 20):
-            code, row = gram_codes([clean(x) for x in texts(b.column("text"))])
-            order = np.lexsort((row, code))
-            code, row = code[order], row[order]
-            first = np.concatenate(([True], (code[1:] != code[:-1]) | (row[1:] != row[:-1]))) if len(code) else np.zeros(0, bool)
-            code, toxic = code[first], b.column("toxic").to_numpy(zero_copy_only=False)[row[first]]
-            if len(code):
-                start = np.nonzero(np.concatenate(([True], code[1:] != code[:-1])))[0]
-                pos = np.add.reduceat(toxic.astype(np.int64), start)
-                total = np.diff(np.append(start, len(code)))
-                yield pa.RecordBatch.from_arrays([pa.array(code[start].view(np.int64)), pa.array(pos), pa.array(total)], names=["code", "pos", "n"])
+            code, row, times = marks([clean(x) for x in texts(b.column("text"))])
+            toxic = b.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)[row]
+            for level in range(LEVELS):
+                some = np.nonzero(times > level)[0]
+                if len(some):
+                    some = some[np.argsort(code[some], kind="stable")]
+                    c = code[some]
+                    start = np.nonzero(np.concatenate(([True], c[1:] != c[:-1])))[0]
+                    pos, n = np.add.reduceat(toxic[some], start), np.diff(np.append(start, len(c)))
+                    yield pa.RecordBatch.from_arrays([pa.array(c[start].view(np.int64)), pa.array(np.full(len(start), level, np.int32)), pa.array(pos), pa.array(n)], names=["code", "level", "pos", "n"])
 
     sizes = {r.toxic: r["count"] for r in learn.groupBy("toxic").count().collect()}
     n1, n0 = max(sizes.get(1, 0), 1), max(sizes.get(0, 0), 1)
-    freq = learn.mapInArrow(count, "code long, pos long, n long").groupBy("code").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).where(F.col("n") >= support)
+    freq = learn.mapInArrow(count, "code long, level int, pos long, n long").groupBy("code", "level").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n")).where(F.col("n") >= support)
     p1, p0 = (F.col("pos") + 0.5) / (n1 + 1), (F.col("n") - F.col("pos") + 0.5) / (n0 + 1)
     lift = F.abs(p1 - p0) / F.sqrt(p1 * (1 - p1) / n1 + p0 * (1 - p0) / n0)
-    picked = freq.where((lift >= least_lift) & (p1 >= RATIO * p0)).orderBy(F.desc(lift), "code").limit(grams).select("code").collect()  # GRAMS rows at most
-    codes = np.sort(np.array([r.code for r in picked], np.int64).view(U64))
-    blank = Model(codes, np.zeros(len(codes)), 0.0)
-    shared = docs.sparkSession.sparkContext.broadcast(blank)
+    picked = freq.where((lift >= least_lift) & (p1 >= RATIO * p0)).orderBy(F.desc(lift), "code", "level").limit(most).select("code", "level").collect()  # MARKS rows at most
+    found = np.array([r.code for r in picked], np.int64).view(U64)
+    codes = np.unique(found)
+    used = np.unique(np.searchsorted(codes, found) * LEVELS + np.array([r.level for r in picked], np.int64)) if len(picked) else np.zeros(0, np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(Model(codes, np.zeros(len(codes) * LEVELS), 0.0))
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def lists(cleaned: list[bytes]) -> list[np.ndarray]:
             row, at = shared.value.hits(cleaned)
-            return np.split(at, np.cumsum(np.bincount(row, minlength=len(cleaned)))[:-1])
+            ok = np.isin(at, used)
+            return np.split(at[ok], np.cumsum(np.bincount(row[ok], minlength=len(cleaned)))[:-1])
 
         for b in pieces(batches):
             cleaned = [clean(x) for x in texts(b.column("text"))]
             other = [swapped(x) for x in cleaned]
             kind = pa.list_(pa.int32())
             changed = [y.astype(np.int32) if s != c else None for y, s, c in zip(lists(other), other, cleaned, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([x.astype(np.int32) for x in lists(cleaned)], kind), pa.array(changed, kind)], names=["toxic", "grams", "changed"])
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array([x.astype(np.int32) for x in lists(cleaned)], kind), pa.array(changed, kind)], names=["toxic", "marks", "changed"])
 
-    rows = learn.mapInArrow(find, "toxic int, grams array<int>, changed array<int>").collect()  # the sample
-    rows.sort(key=lambda r: (r.toxic, r.grams, r.changed or []))
-    weights, bias = train([np.array(r.grams, np.int64) for r in rows], [None if r.changed is None else np.array(r.changed, np.int64) for r in rows], np.array([r.toxic == 1 for r in rows]), len(codes), swap=swap)
+    rows = learn.mapInArrow(find, "toxic int, marks array<int>, changed array<int>").collect()  # the sample
+    rows.sort(key=lambda r: (r.toxic, r.marks, r.changed or []))
+    weights, bias = train([np.array(r.marks, np.int64) for r in rows], [None if r.changed is None else np.array(r.changed, np.int64) for r in rows], np.array([r.toxic == 1 for r in rows]), len(codes) * LEVELS, swap=swap)
     return Model(codes, weights, bias)
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **bounds: int) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of ``docs``.
 
-    Null and empty texts get the score of a text without any gram. A null doc_id keeps its row, is held out and never
-    learnt from. Labels of a repeated doc_id count once, the larger one. Without labels of both classes all scores are low.
+    Null and empty texts get the score of a text without any mark; a very long text is scored whole, in one go. A null
+    doc_id keeps its row, is held out and never learnt from. Equal texts score alike, repeated rows get a row each.
+    Labels of a repeated doc_id count once, the larger one. Without labels of both classes all scores are low; an
+    empty table gives no rows. Columns besides doc_id and text are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, **bounds))
