@@ -6,21 +6,32 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm.components import checkpoint_dir
 
 
-def stash(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet below spark.checkpoint.dir and read again."""
-    spark = df.sparkSession
+def _folder(spark: SparkSession) -> str:
+    """Where this application's tables stand, below spark.checkpoint.dir."""
     checkpoint_dir(spark)
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    path = f"{folder}/table-{uuid.uuid4().hex}"
+    return f"{folder}/tables-{spark.sparkContext.applicationId}"
+
+
+def stash(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet below spark.checkpoint.dir and read again. ``sweep`` removes what an application wrote."""
+    spark = df.sparkSession
+    path = f"{_folder(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Removes all tables that ``stash`` wrote in this application; call it when no result that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, each lengthened until no column of ``df`` is called so."""
     taken, out = {c.lower() for c in df.columns}, []

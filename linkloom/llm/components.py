@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> None:
-    """The cluster's shared folder comes from spark.checkpoint.dir; one of our own is set only where it names none."""
-    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+    """The cluster's shared folder comes from spark.checkpoint.dir. Only a local session gets one of our own where it names none."""
+    context = spark.sparkContext
+    if context.getCheckpointDir():
         return
-    spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    context.setCheckpointDir(folder or "/tmp/checkpoints")
 
 
 def cut(df: DataFrame) -> DataFrame:

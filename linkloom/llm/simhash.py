@@ -26,6 +26,8 @@ from linkloom.llm.components import connected_components, cut
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 #: A cell of the table with more fingerprints than this is dealt to several tasks.
 CELL = 1024
+#: Tasks that the members of a class are dealt to when they learn its smallest id.
+DEALT = 32
 
 
 def shingle_hashes(text: bytes, size: int = 4, seed: int = 42) -> Iterator[np.ndarray]:
@@ -179,9 +181,19 @@ def _classes(fps: DataFrame, bits: int, parts: int) -> DataFrame:
     """``(doc_id, fp)`` to ``(fp, component_id)``, one row for each fingerprint."""
     distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("low")))
     found = connected_components(linked(distinct.select("fp"), bits, parts)).withColumnsRenamed({"node": "fp", "component": "root"})
-    rooted = distinct.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return cut(rooted.join(smallest, "root").select("fp", "component_id"))
+    return cut(named_by_smallest(distinct.join(found, "fp", "left"), "fp"))
+
+
+def named_by_smallest(rooted: DataFrame, node: str) -> DataFrame:
+    """``(node, low, root)``, root null where nothing is linked, to ``(node, component_id)``: the least ``low`` of each root.
+
+    Members of a class are dealt to DEALT tasks, each of which gets a copy of the class's one row, so a large class is no hot key.
+    """
+    alone = rooted.where("root IS NULL").select(node, F.col("low").alias("component_id"))
+    members = rooted.where("root IS NOT NULL")
+    smallest = members.groupBy("root").agg(F.min("low").alias("component_id")).withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
+    dealt = members.withColumn("deal", F.pmod(F.xxhash64(node), F.lit(DEALT)).cast("int"))
+    return alone.unionByName(dealt.join(smallest, ["root", "deal"]).select(node, "component_id"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, bits: int = 4, parts: int = 3) -> DataFrame:
