@@ -93,13 +93,50 @@ def test_top_k_is_exact(spark):
     assert vafile.top_k(df.where("false"), df.where("false")).count() == 0
 
 
-def test_bounds_never_lose_a_winner():
+def test_copies_ties_and_clashing_columns(spark):
+    rng = np.random.default_rng(3)
+    v = rng.integers(-3, 4, size=(40, 4)).astype(float) / 4
+    rows = [(i, [float(x) for x in v[i]]) for i in range(40)] + [(i % 7 + 50, [0.75] * 4) for i in range(60)] + [(100, [0.75] * 4)] * 9 + [(200, [1.0] * 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 AS row", "2 AS v", "3 AS dim", "4 AS block")
+    x = vafile.integers(df)
+    got = defaultdict(list)
+    for r in vafile.top_k(x.where("vec_id % 50 = 0"), x).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    q = [(i, np.floor(256 * np.array(e)).astype(np.int64)) for i, e in rows]
+    for i in {i for i, _ in rows if i % 50 == 0}:
+        mine = next(e for j, e in q if j == i)
+        best = sorted((-int(mine @ e), j) for j, e in q if j != i and len(e) == len(mine))[:5]
+        assert sorted(got[i]) == [(n + 1, j, -s) for n, (s, j) in enumerate(best)]
+
+
+def test_shuffled_queries_and_few_reads(spark, monkeypatch):
+    df = queries.table(spark, "/root/testdata/sf0.01", "embeddings")
+    x = vafile.integers(df)
+    asks = x.where("vec_id % 50 = 0")
+    want = sorted(map(tuple, vafile.top_k(asks, x).collect()))
+    reads = [r.n_read for r in vafile.top_k(asks, x, reads=True).collect()]
+    assert sum(reads) < 0.1 * len(reads) * x.count()
+    monkeypatch.setattr(vafile, "BROADCAST", 0)
+    monkeypatch.setattr(vafile, "COMPONENTS", 64 * 100)
+    monkeypatch.setattr(vafile, "ASKED", 64 * 3)
+    assert sorted(map(tuple, vafile.top_k(asks, x).collect())) == want
+
+
+@pytest.mark.parametrize("cells", [2, 5, 64])
+def test_bounds_hold_and_never_lose_a_winner(cells):
     rng = np.random.default_rng(2)
-    v = rng.integers(-200, 200, size=(500, 16))
+    v = rng.integers(-200, 200, size=(500, 16)) * rng.integers(1, 50, size=16)
     ids = np.arange(500)
-    got = list(vafile.search_block(ids[:20], v[:20], ids, v, 5))
+    code, low, high = vafile.cells_of(v, cells)
+    least, most = vafile.bounds(v[:20], code, low, high)
+    exact = v[:20] @ v.T
+    assert (least <= exact).all() and (exact <= most).all()
+    found = defaultdict(set)
+    for who, _, at, _, _ in vafile.candidates(ids[:20], v[:20], ids, ids, code, low, high, 5):
+        for i, j in zip(who.tolist(), at.tolist(), strict=True):
+            found[i].add(j)
     for i in range(20):
-        assert [x[1:] for x in got if x[0] == i] == [(j, -s) for s, j in sorted((-int(v[i] @ v[j]), j) for j in range(500) if j != i)[:5]]
+        assert {j for _, j in sorted((-int(exact[i, j]), j) for j in range(500) if j != i)[:5]} <= found[i]
 
 
 # 2 ---------------------------------------------------------------------------------------------------------------
@@ -341,13 +378,15 @@ def test_names_depend_on_their_stretch_alone():
 # 6 ---------------------------------------------------------------------------------------------------------------
 
 
-def test_boilerplate_goes_and_copies_stay(spark, bad, empty):
+def test_boilerplate_goes(spark, bad, empty):
     rows = [(i, f"menu home about\nbody of page {i} goes on and on for a while\n\nall rights", "en", f"s{i % 12}", 0) for i in range(24)]
     rows += [(100 + i, "menu home about", "en", f"s{i}", 0) for i in range(12)]
     rows += [(200 + i, f"near nine {i}\nonly on nine sites here\nthe rest of this page is its own {i}", "en", f"s{i}", 0) for i in range(9)]
     out = {r.doc_id: r for r in line_dedup.remove_boilerplate(spark.createDataFrame(rows, DOC)).collect()}
     assert out[3].text == "body of page 3 goes on and on for a while\n" and out[3]["__removed"] == 2 and out[3]["__lines"] == 3
-    assert out[105].text == "menu home about" and "only on nine" in out[203].text
+    assert out[105].text == "" and "only on nine" in out[203].text
+    spared = {r.doc_id: r for r in line_dedup.remove_boilerplate(spark.createDataFrame(rows, DOC), spare_repeated=0.5).collect()}
+    assert spared[105].text == "menu home about" and spared[3].text == out[3].text
     got = line_dedup.remove_boilerplate(bad)
     assert got.count() == len(hostile()) and got.columns[: len(bad.columns)] == bad.columns
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((a, b) for a, b, *_ in hostile())
@@ -447,10 +486,49 @@ def test_base_counts(spark, bad, empty):
     assert quality.keep(bad, none).columns == bad.columns
 
 
-def test_good_documents_stay(spark):
-    r = quality.score(queries.table(spark, SF, "documents"), queries.table(spark, SF, "labels")).join(queries.table(spark, SF, "labels"), "doc_id").where("NOT base_failed")
+def test_held_out_verdicts(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = queries.table(spark, sf, "labels")
+    r = quality.score(queries.table(spark, sf, "documents"), labels).join(labels, "doc_id").where("NOT base_failed AND crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1")
     n = {(x.quality, x.kept): x["count"] for x in r.groupBy("quality", "kept").count().collect()}
-    assert n.get((1, False), 0) == 0 and n[(1, True)] > 20
+    assert n.get((1, False), 0) <= 0.01 * n[(1, True)] and n.get((0, True), 0) <= 0.05 * n[(0, False)]
+
+
+def test_ratios_and_threshold_against_brute_force(spark):
+    """Every step again with Python's dictionaries, from word hashes on."""
+    docs = {i: words(60 + i % 5, i, 3000) if i % 4 else words(60, i, 40).replace("w", "v") for i in range(300)}
+    labels = [(i, int(i % 4 != 0), 0) for i in docs if i % 2]
+    got = {r.doc_id: r for r in quality.score(frame(spark, docs), spark.createDataFrame(labels, LABELS)).collect()}
+    mixed = lambda x: int(quality.mix(np.array([x % (1 << 64)], np.uint64))[0])
+    half = quality.BUCKETS // 2
+    grams = {}
+    for i, t in docs.items():
+        h = [xxhash.xxh3_64_intdigest(w) for w in t.encode().split()]
+        pair = [mixed(a * int(quality._A) + b * int(quality._B)) for a, b in zip(h, h[1:], strict=False)]
+        grams[i] = [mixed(x) % half for x in h] + [x % half + half for x in pair]
+    remainder = lambda i: zlib.crc32(str(i).encode()) % 3
+    raw, good = Counter(), Counter()
+    for i, g in grams.items():
+        raw.update(g)
+        if remainder(i) == 0 and (i, 1, 0) in labels:
+            good.update(g)
+    total, trusted, smooth = sum(raw.values()), sum(good.values()), 20 * quality.BUCKETS / 16
+    p = lambda x: (raw[x] + 1) / (total + quality.BUCKETS)
+    llr = {i: sum(np.log((good[x] + smooth * p(x)) / (trusted + smooth) / p(x)) for x in g) / len(g) for i, g in grams.items()}
+    assert all(got[i].llr == pytest.approx(x, abs=1e-9) for i, x in llr.items())
+    sides = [[x for i, x in llr.items() if remainder(i) == 2 and (i, q, 0) in labels and not got[i].base_failed] for q in (1, 0)]
+    cut, best = -np.inf, 0.0
+    at = sorted({*sides[0], *sides[1]})
+    for t in ((a + b) / 2 for a, b in zip(at, at[1:], strict=False)):
+        gain = sum(x < t for x in sides[1]) / max(len(sides[1]), 1) - quality.GOOD_WORTH * sum(x < t for x in sides[0]) / max(len(sides[0]), 1)
+        if gain > best + 1e-12:
+            cut, best = t, gain
+    assert {i: r.kept for i, r in got.items()} == {i: not got[i].base_failed and x >= cut for i, x in llr.items()}
+
+
+def test_thresholds_lie_between():
+    f = lambda *x: quality.cut_between(*(np.array(y, float) for y in x))
+    assert f([1, 2], [-1, 0]) == 0.5 and f([], [1]) == -np.inf == f([1], []) == f([0, 0], [0, 0]) == f([1, 2], [1.5])
 
 
 # 9 ---------------------------------------------------------------------------------------------------------------
@@ -462,7 +540,7 @@ def test_held_out_accuracy(spark):
     r = toxicity.score(queries.table(spark, sf, "documents"), labels)
     x = r.join(labels, "doc_id").where("held_out").groupBy("toxic").agg({"predicted": "avg"}).collect()
     rate = {y.toxic: y["avg(predicted)"] for y in x}
-    assert rate[0] <= 0.02 and rate[1] >= 0.6
+    assert rate[0] <= 0.02 and rate[1] >= 0.85
     assert all(toxicity.held_out(y.doc_id) == (zlib.crc32(str(y.doc_id).encode()) % 3 == 1) == y.held_out for y in r.limit(50).collect())
 
 
@@ -488,7 +566,7 @@ def test_swaps_take_identity_out_of_the_weights():
     plain, _ = toxicity.train(rows, [None] * 400, np.array(y), 3)
     fair, _ = toxicity.train(rows, changed, np.array(y), 3, swap=10.0)
     assert abs(plain[1] - plain[2]) > 5 * abs(fair[1] - fair[2]) and fair[0] > 1
-    assert toxicity.swapped(b"the women, men and christians") == b"the men, women and jewish".replace(b"jewish", b"jews")
+    assert toxicity.swapped(toxicity.clean(b"The women, men and (Christians)")) == b"the men  women and  jews "
 
 
 def test_toxicity_of_hostile_rows(spark, bad, empty):
