@@ -8,8 +8,11 @@ that its name and its borders depend on: wherever that stretch occurs again, the
 A window of ``size`` words holds the symbols whose stretches lie inside it; the one with the least hash is its anchor.
 Equal windows so have equal anchors, wherever they stand. Windows in a row with one anchor make a span. Spark groups
 spans by anchor: whose anchor no smaller document has needs nothing more; a span that a smaller document has in full is
-done; for the few others (at the ends of repeats) every window is compared. Names are 64-bit hashes, two of them must
-agree in each comparison. Windows without any symbol (in long runs of one word) are their own anchors.
+done; for the few others (at the ends of repeats) every window is compared. Windows without any symbol (in long runs of
+one word) are their own anchors.
+
+Names only bring candidates together. What is removed is decided by a 128-bit BLAKE2 digest of the words themselves, of
+the whole span or of the window, which owes nothing to the names: names that collide cost time, never a word.
 """
 
 from __future__ import annotations
@@ -93,8 +96,38 @@ def recompress(words: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> t
     return sym[~sep], lo[~sep], hi[~sep], start
 
 
+def digests(text: bytes, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two halves of the digests of stretches of words, ``first`` to ``last`` - 1, joined by one space.
+
+    Stretches are in order and no longer than the part of the text that they lie in.
+    """
+    out = bytearray()
+    starts, ends, base, at, data = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0, b""
+    queue = iter(spans(text))
+    while at < len(first):
+        # Words of one more part of the text, behind those that are still needed.
+        part = next(queue).split()
+        if not part:
+            continue
+        drop = max(int(first[at]) - base, 0)
+        drop = min(drop, len(starts))
+        cut = int(starts[drop]) if drop < len(starts) else len(data)
+        data, starts, ends, base = data[cut:], starts[drop:] - cut, ends[drop:] - cut, base + drop
+        joined = b" ".join(part)
+        size = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+        shift = len(data) + bool(len(data))
+        data = data + b" " + joined if data else joined
+        starts, ends = np.concatenate((starts, shift + np.concatenate(([0], size[:-1]))[: len(part)])), np.concatenate((ends, shift + size - 1))
+        upto = at + int(np.searchsorted(last[at:], base + len(starts), "right"))
+        for a, b in zip(starts[first[at:upto] - base].tolist(), ends[last[at:upto] - 1 - base].tolist(), strict=True):
+            out += hashlib.blake2b(data[a:b], digest_size=16).digest()
+        at = upto
+    halves = np.frombuffer(bytes(out), np.int64).reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]
+
+
 def span_rows(words: np.ndarray, counts: np.ndarray, size: int = 50) -> tuple[np.ndarray, ...]:
-    """Spans of all texts: text number, first and last window (word positions), hash of the anchor's stretch, of the span."""
+    """Spans of all texts: text number, first and last window (word positions), hash of the anchor's stretch."""
     sym, lo, hi, start = recompress(words, counts)
     total = int(counts.sum()) + len(counts) + 1
     full = np.zeros(total, U64)
@@ -107,7 +140,7 @@ def span_rows(words: np.ndarray, counts: np.ndarray, size: int = 50) -> tuple[np
     p = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + start[row]
     if not len(p):
         none = np.zeros(0, np.int64)
-        return none, none, none, none.view(U64), none.view(U64)
+        return none, none, none, none.view(U64)
     if len(sym):
         # Of symbols in order, both bounds grow: those inside a window are neighbours.
         before = np.concatenate(([0], np.cumsum(np.bincount(lo, minlength=total + 1))))
@@ -142,14 +175,14 @@ def span_rows(words: np.ndarray, counts: np.ndarray, size: int = 50) -> tuple[np
     y = np.where(own, p[first] + size, hi[np.maximum(which, 0)] if len(sym) else 0)
     key = prefix.of(x, y)
     key = np.where(own, mix(key + _A), key)
-    return row[first], p[first] - start[row[first]], p[last] - start[row[first]], key, prefix.of(p[first], p[last] + size)
+    return row[first], p[first] - start[row[first]], p[last] - start[row[first]], key
 
 
-def _parts(docs: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _parts(docs: list[bytes], size: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words of the texts in parts: hashes, words of each part, its text and its first word there."""
     words, counts, row, base = [], [], [], []
     for i, x in enumerate(docs):
-        h = word_hashes(x)
+        h = word_hashes(x) >> U64(64 - bits)
         for at in range(0, max(len(h) - size + 1, 1), PART):
             part = h[at : at + PART + size - 1]
             words.append(part)
@@ -163,34 +196,44 @@ def _batch(**cols: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in cols.values()], names=list(cols))
 
 
-def _spans(docs: DataFrame, size: int) -> DataFrame:
+_ROWS = "key long, span long, span_ long, rank long, rid long, first int, last int"
+
+
+def _spans(docs: DataFrame, size: int, bits: int) -> DataFrame:
+    """``key``: the anchor's name; ``span``, ``span_``: the digest of the span's words."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            words, counts, row, base = _parts(texts(b.column("text")), size)
-            part, first, last, key, span = span_rows(words, counts, size)
+            docs = texts(b.column("text"))
+            words, counts, row, base = _parts(docs, size, bits)
+            part, first, last, key = span_rows(words, counts, size)
             if len(part):
                 at = row[part]
+                first, last = first + base[part], last + base[part]
+                cuts = np.searchsorted(at, np.arange(len(docs) + 1))
+                both = [digests(x, first[i:j], last[i:j] + size) for x, i, j in zip(docs, cuts[:-1], cuts[1:], strict=True) if i < j]
                 rank, rid = (b.column(k).to_numpy(zero_copy_only=False) for k in ("rank", "rid"))
-                yield _batch(key=signed(key), span=signed(span), rank=rank[at], rid=rid[at], first=(first + base[part]).astype(np.int32), last=(last + base[part]).astype(np.int32))
+                span, span_ = (np.concatenate([d[k] for d in both]) for k in (0, 1))
+                yield _batch(key=signed(key), span=span, span_=span_, rank=rank[at], rid=rid[at], first=first.astype(np.int32), last=last.astype(np.int32))
 
-    return docs.mapInArrow(run, "key long, span long, rank long, rid long, first int, last int")
+    return docs.mapInArrow(run, _ROWS)
 
 
 def _windows(docs: DataFrame, size: int) -> DataFrame:
-    """Each window of the listed spans."""
+    """Each window of the listed spans, with the digest of its words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             rank, rid = (b.column(k).to_pylist() for k in ("rank", "rid"))
             for i, (x, wanted) in enumerate(zip(texts(b.column("text")), b.column("spans").to_pylist(), strict=True)):
-                h = word_hashes(x)
-                prefix = _Prefix(h)
+                wanted = sorted(wanted, key=lambda s: s["first"])
                 first, n = np.array([s["first"] for s in wanted]), np.array([s["last"] - s["first"] + 1 for s in wanted])
                 p = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
                 key = np.repeat(np.array([s["key"] for s in wanted], np.int64), n)
-                yield _batch(key=key, span=signed(prefix.of(p, p + size)), rank=np.full(len(p), rank[i]), rid=np.full(len(p), rid[i]), first=p.astype(np.int32), last=p.astype(np.int32))
+                span, span_ = digests(x, p, p + size)
+                yield _batch(key=key, span=span, span_=span_, rank=np.full(len(p), rank[i]), rid=np.full(len(p), rid[i]), first=p.astype(np.int32), last=p.astype(np.int32))
 
-    return docs.mapInArrow(run, "key long, span long, rank long, rid long, first int, last int")
+    return docs.mapInArrow(run, _ROWS)
 
 
 def merged(first: list[int], last: list[int], size: int) -> list[tuple[int, int]]:
@@ -225,41 +268,45 @@ def cut_words(text: bytes, gone: list[tuple[int, int]]) -> tuple[int, int, Itera
     return n, removed, iter(kept)
 
 
-def repeats(docs: DataFrame, size: int = 50) -> DataFrame:
+def repeats(docs: DataFrame, size: int = 50, bits: int = 64) -> DataFrame:
     """``(rid, gone)`` for rows that lose words: ranges (first word, last + 1) in order. Needs rank, rid and text."""
-    rows = stash(_spans(docs, size))
-    keys = rows.groupBy("key").agg(F.min("rank").alias("least"), F.max("rank").alias("most"), F.min("span").alias("low"), F.max("span").alias("high"))
+    rows = stash(_spans(docs, size, bits))
+    span = F.struct("span", "span_")
+    keys = rows.groupBy("key").agg(F.min("rank").alias("least"), F.max("rank").alias("most"), F.min(span).alias("low"), F.max(span).alias("high"))
     keys = stash(keys.where("least < most").select("key", "least", (F.col("low") != F.col("high")).alias("mixed")))
     shared = stash(rows.join(keys, "key").where("mixed OR least < rank"))
     done = shared.where("NOT mixed").select("rid", "first", "last")
     mixed = shared.where("mixed")
-    least = stash(mixed.groupBy("key", "span").agg(F.min("rank").alias("here")))
-    mixed = stash(mixed.join(least, ["key", "span"]))
+    same = ["key", "span", "span_"]
+    least = stash(mixed.groupBy(*same).agg(F.min("rank").alias("here")))
+    mixed = stash(mixed.join(least, same))
     done = done.unionByName(mixed.where("here < rank").select("rid", "first", "last"))
     # What is left holds each different span once for each place in its smallest document.
     wanted = stash(mixed.where("here = rank").groupBy("rid").agg(F.collect_list(F.struct("first", "last", "key")).alias("spans")))
     size_of = wanted.select(F.sum(F.size("spans") * 24 + 32)).first()[0] or 0
     chosen = docs.join(F.broadcast(wanted) if size_of <= 48 << 20 else wanted, "rid")
     windows = stash(_windows(chosen.select("rank", "rid", "text", "spans"), size))
-    least = stash(windows.groupBy("key", "span").agg(F.min("rank").alias("here"), F.max("rank").alias("most")).where("here < most").drop("most"))
-    done = done.unionByName(windows.join(least, ["key", "span"]).where("here < rank").select("rid", "first", "last"))
+    least = stash(windows.groupBy(*same).agg(F.min("rank").alias("here"), F.max("rank").alias("most")).where("here < most").drop("most"))
+    done = done.unionByName(windows.join(least, same).where("here < rank").select("rid", "first", "last"))
     return done.groupBy("rid").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
 
 
-def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_col: str = "text", output: str = "digest") -> DataFrame:
+def remove_repeats(docs: DataFrame, size: int = 50, id_col: str = "doc_id", text_col: str = "text", output: str = "digest", bits: int = 64) -> DataFrame:
     """Removes every word covered by a window of ``size`` words that also starts in a document with a smaller id.
 
     ``output`` "digest": doc_id, n_words, n_removed, kept_sha256 for each row; "text": the rows of ``docs`` with their
     columns, the text of those that lose words being the kept words joined by one space. Null texts have no words; a null
     id counts as larger than all; rows of one id never cut each other, and repeated rows fare alike; an empty table
-    gives no rows; further columns pass through untouched, whatever their names.
+    gives no rows; further columns pass through untouched, whatever their names. A very long text is named and digested
+    in parts; its words' hashes are held together. ``bits`` of a word's hash that go into names: fewer make more of them
+    collide, which changes the work and not the result.
     """
     RID, FIRST, LAST = fresh(docs, "__rid", "__first", "__last")
     key, text = F.col(named(id_col)), F.col(named(text_col))
     row = F.xxhash64(key, text)
     base = docs.select(F.coalesce(key.cast("long"), F.lit(_LAST)).alias("rank"), row.alias("rid"), text.alias("text"))
     # Rows alike in id and text are one here; each finds its ranges again below.
-    gone = stash(repeats(base, size))
+    gone = stash(repeats(base, size, bits))
     small = (gone.select(F.sum(F.size("first") * 8 + 32)).first()[0] or 0) <= 48 << 20
     gone = gone.select(F.col("rid").alias(RID), F.col("first").alias(FIRST), F.col("last").alias(LAST))
     joined = docs.join(F.broadcast(gone) if small else gone, row == F.col(RID), "left")
