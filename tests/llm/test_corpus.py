@@ -365,6 +365,24 @@ def test_repeats_in_hostile_rows(spark, bad):
     assert want <= got and text.count() == len(rows)
 
 
+@pytest.mark.parametrize("bits", [1, 3])
+def test_colliding_names_change_nothing(spark, bits):
+    docs = some_docs(25)
+    got = sorted((tuple(r) for r in substring.remove_repeats(frame(spark, docs), bits=bits).collect()), key=repr)
+    assert got == brute_repeats(list(docs.items()))
+
+
+def test_digests_are_of_the_words(monkeypatch):
+    monkeypatch.setattr(substring, "spans", lambda x: (x[i : i + 2000] for i in range(0, len(x), 1800)))
+    text = b"".join(b"w%05d  \n" % (i % 997) for i in range(3000))  # nine bytes a word: parts end at white space
+    w = text.split()
+    first = np.sort(np.random.default_rng(4).integers(0, 2900, 400))
+    last = np.maximum.accumulate(first + 50)
+    low, high = substring.digests(text, first, last)
+    for a, b, x, y in zip(first, last, low, high, strict=True):
+        assert hashlib.blake2b(b" ".join(w[a:b]), digest_size=16).digest() == np.array([x, y]).tobytes()
+
+
 def test_names_depend_on_their_stretch_alone():
     a = word_hashes(words(300, 3, 5).encode())
     sym, lo, hi, _ = substring.recompress(a, np.array([300]))
