@@ -271,9 +271,9 @@ def cut_words(text: bytes, gone: list[tuple[int, int]]) -> tuple[int, int, Itera
 def repeats(docs: DataFrame, size: int = 50, bits: int = 64) -> DataFrame:
     """``(rid, gone)`` for rows that lose words: ranges (first word, last + 1) in order. Needs rank, rid and text."""
     rows = stash(_spans(docs, size, bits))
-    span = F.struct("span", "span_")
-    keys = rows.groupBy("key").agg(F.min("rank").alias("least"), F.max("rank").alias("most"), F.min(span).alias("low"), F.max(span).alias("high"))
-    keys = stash(keys.where("least < most").select("key", "least", (F.col("low") != F.col("high")).alias("mixed")))
+    ends = [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("rank", "span", "span_")]
+    keys = rows.groupBy("key").agg(*ends).where("min_rank < max_rank")
+    keys = stash(keys.selectExpr("key", "min_rank AS least", "min_span <> max_span OR min_span_ <> max_span_ AS mixed"))
     shared = stash(rows.join(keys, "key").where("mixed OR least < rank"))
     done = shared.where("NOT mixed").select("rid", "first", "last")
     mixed = shared.where("mixed")
