@@ -1,10 +1,17 @@
 """Stupid-backoff scores of documents against all other documents' n-gram counts.
 
-Documents are dealt to blocks of some megabytes. A block's distinct n-grams, hashed, go with their counts to the
-partitions of the count table that their hashes belong to; those partitions add up all blocks and answer each with the
-totals, in the order asked; the block joins them to its exploded n-grams, takes off each document's own share, and sums
-by document. An n-gram crosses the network once for each block, however often it stands there, so frequent ones
-make no partition heavy.
+Rows are dealt to blocks of some megabytes, whatever their id and text, so copies spread. A block's distinct n-grams,
+named by 64-bit hashes, go with their counts to the parts of the count table that their hashes belong to; those parts
+add up all blocks and answer each with the totals; the block joins them to its exploded n-grams, takes off each
+document's own share, and sums by document. An n-gram crosses the network once for each block, however often it stands
+there, so frequent ones make no partition heavy.
+
+What is exchanged is the relation (part, n, block, n-gram, count). Its rows are packed by (part, n, block), n-grams in
+order and as byte planes: plain rows take about 12 bytes an n-gram each way instead of five and one. There is a packed
+row only where there are n-grams, so packed rows are never more than n-grams and grow in proportion to the input.
+
+Two different n-grams share a name with probability 2 ** -64. Of N different n-grams a share of N / 2 ** 64 at most is
+expected to meet another's count: under one in a million up to 1.8e13, beyond 100 TB of text.
 
 With c the counts in all other documents and a = 0.4: S(w | u v) is c(u v w) / c(u v) if c(u v w) > 0, else a S(w | v);
 S(w | v) is c(v w) / c(v) if c(v w) > 0, else a S(w); S(w) is max(c(w), 1) / (n + 1) with n the words of the others. A
@@ -24,24 +31,25 @@ from pyspark.sql import functions as F
 from linkloom.llm._text import U64, batch_words, mix, pieces, texts
 
 ORDER, ALPHA = 3, 0.4
-#: Bytes of text in a block, and n-grams in a partition of a count table, about.
+#: Bytes of text in a block, and n-grams in a part of a count table, about.
 BLOCK, PART = 12 << 20, 2_000_000
-#: Bits of an n-gram's hash that travel; their top bits also pick the partition.
-BITS = 56
+LEAST_BLOCK = 2 << 20
+#: Tasks that blocks and parts are dealt to at most; a task takes several one after another.
+TASKS = 50_000
 _K = (U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F), U64(0x165667B19E3779F9))
 _PACK, _UNPACK = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 _KIND = "part int, n int, block long, grams binary, counts binary"
 
 
 def grams(words: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all n-grams in the texts, of BITS bits, and the place of each one's last word."""
+    """Hashes of all n-grams in the texts, and the place of each one's last word."""
     row = np.repeat(np.arange(len(counts)), counts)
     at = np.arange(n - 1, len(words))
     at = at[row[at] == row[at - n + 1]]
     h = words[at]
     for k in range(1, n):
         h = mix(h) + words[at - k] * _K[k]
-    return mix(h + U64(n)) >> U64(64 - BITS), at
+    return mix(h + U64(n)), at
 
 
 def packed(x: np.ndarray, width: int, rising: bool = False) -> bytes:
@@ -59,10 +67,19 @@ def unpacked(x: bytes, width: int, rising: bool = False) -> np.ndarray:
     return np.cumsum(out, dtype=U64) if rising else out
 
 
-def _cuts(u: np.ndarray, parts: int) -> np.ndarray:
-    """Where each partition's n-grams start in the sorted array."""
-    bounds = [(p << BITS) // parts for p in range(1, parts)]
-    return np.concatenate(([0], np.searchsorted(u, np.array(bounds, U64)), [len(u)]))
+def _cuts(u: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Parts that n-grams in order fall into, and where each of these starts and ends; their top bits pick the part."""
+    part = ((u >> U64(32)) * U64(parts)) >> U64(32)
+    first = np.nonzero(np.concatenate(([True], part[1:] != part[:-1])))[0] if len(u) else np.zeros(0, np.int64)
+    return part[first].astype(np.int32), np.append(first, len(u))
+
+
+def _zipped(column: pa.Array) -> pa.Array:
+    return pa.array([_PACK.compress(x) for x in texts(column)], pa.binary())
+
+
+def _texts(column: pa.Array) -> list[bytes]:
+    return [_UNPACK.decompress(x) if x else b"" for x in column.to_pylist()]
 
 
 def _ask(order: int, parts: int):
@@ -71,14 +88,14 @@ def _ask(order: int, parts: int):
             words, counts = np.concatenate([w for w, _ in held]), np.concatenate([c for _, c in held])
             for n in range(1, order + 1):
                 u, c = np.unique(grams(words, counts, n)[0], return_counts=True)
-                cut = _cuts(u, parts)
-                some = [p for p in range(parts) if cut[p] < cut[p + 1]]
+                some, cut = _cuts(u, parts)
+                ends = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
                 cols = [pa.array(some, pa.int32()), pa.array([n] * len(some), pa.int32()), pa.array([block] * len(some), pa.int64())]
-                cols += [pa.array([packed(u[cut[p] : cut[p + 1]], BITS // 8, True) for p in some], pa.binary()), pa.array([packed(c[cut[p] : cut[p + 1]], 4) for p in some], pa.binary())]
+                cols += [pa.array([packed(u[i:j], 8, True) for i, j in ends], pa.binary()), pa.array([packed(c[i:j], 4) for i, j in ends], pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, names=["part", "n", "block", "grams", "counts"])
 
         now, held = None, []
-        for b in pieces(batches):
+        for b in pieces(batches, "text"):
             block = b.column("block").to_numpy()
             edges = np.concatenate(([0], np.nonzero(block[1:] != block[:-1])[0] + 1, [len(block)]))
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
@@ -86,7 +103,7 @@ def _ask(order: int, parts: int):
                     if held:
                         yield from out(now, held)
                     now, held = int(block[i]), []
-                held.append(batch_words(texts(b.column("text").slice(i, j - i))))
+                held.append(batch_words(_texts(b.column("text").slice(i, j - i))))
         if held:
             yield from out(now, held)
 
@@ -112,7 +129,7 @@ def _answer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if held:
                     yield from out(now, held)
                 now, held = (n[i], part[i]), []
-            held.append((block[i], unpacked(g[i], BITS // 8, True), unpacked(c[i], 4)))
+            held.append((block[i], unpacked(g[i], 8, True), unpacked(c[i], 4)))
     if held:
         yield from out(now, held)
 
@@ -150,7 +167,7 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK, part_gr
 
     Rows are documents: rows that repeat an id or a text count as others to each other. Null and empty texts have no
     words, a sum of 0 and a null mean; a null id keeps its row; an empty table gives none; other columns are not read.
-    A block and a partition fit in a task's memory at any size of the corpus; a single document must, too.
+    A block and a part fit in a task's memory at any size of the corpus; a single document, of whatever length, must, too.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
@@ -163,14 +180,24 @@ def score(docs: DataFrame, order: int = ORDER, block_bytes: int = BLOCK, part_gr
 
     size, everything = docs.select("text").mapInArrow(measure, "size long, words long").agg(F.sum("size"), F.sum("words")).first()
     size, everything = size or 0, everything or 0
-    blocks, parts = max(1, -(-size // block_bytes)), max(1, -(-everything // part_grams))
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition("block")
+    # Blocks are as small as all cores need, but of LEAST_BLOCK bytes.
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    blocks, parts = max(1, -(-size // block_bytes), min(cores, size // LEAST_BLOCK)), max(1, -(-everything // part_grams))
+
+    def compress(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches):
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), _zipped(b.column("text"))], names=["doc_id", "text"])
+
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias("block")
+    # Twice as many tasks as blocks and parts: few tasks then get several.
+    tasks, adding = min(2 * blocks, TASKS), min(2 * parts * order, TASKS)
+    dealt = docs.mapInArrow(compress, "doc_id long, text binary").select("doc_id", "text", block).repartition(tasks, "block")
     # All columns stay, so that both readers of ``dealt`` share one exchange.
     asked = dealt.sortWithinPartitions("block").mapInArrow(_ask(order, parts), _KIND)
-    answers = asked.repartition(parts * order, "n", "part").sortWithinPartitions("n", "part").mapInArrow(_answer, "part int, n int, block long, totals binary")
+    answers = asked.repartition(adding, "n", "part").sortWithinPartitions("n", "part").mapInArrow(_answer, "part int, n int, block long, totals binary").repartition(tasks, "block")
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        words, counts = batch_words([x for c in left.column("text").chunks for x in texts(c)])
+        words, counts = batch_words([x for c in left.column("text").chunks for x in _texts(c)])
         found = sorted(zip(right.column("n").to_pylist(), right.column("part").to_pylist(), right.column("totals").to_pylist(), strict=True))
         totals = [np.concatenate([np.zeros(0, U64), *(unpacked(t, 5) for k, _, t in found if k == n)]) for n in range(1, order + 1)]
         s = backoff(words, counts, totals, everything, alpha)
