@@ -5,8 +5,9 @@ those two alone. So an encoding is a path through states (place, last piece) who
 beside each other and minus infinity if not, and its text's best path, in the max-plus algebra, is the only finite one.
 
 A giant text is split into chunks at fixed places. Each chunk yields, on its own, the matrix from the pieces that may
-cross its left edge to those that may cross its right edge; matrices combine associatively; from the edge pieces so
-found each chunk is traced back on its own. No piece holds a space mark behind another character, so between two
+cross its left edge to those that may cross its right edge. Matrices combine associatively, so they are multiplied up a
+tree in which a task sees FAN neighbours at a time; the pieces across all edges are then found down the same tree, and
+from them each chunk is traced back on its own. No piece holds a space mark behind another character, so between two
 words the state does not matter, and words are traced once for all their occurrences.
 """
 
@@ -27,6 +28,8 @@ from linkloom.llm._text import pieces as batches_of
 
 #: Characters of a chunk of a giant text.
 CHUNK = 32_768
+#: Neighbouring matrices that one task multiplies.
+FAN = 64
 #: Words of a generation remembered by a worker; all others are traced again.
 WORDS = 250_000
 _MARK = "▁"
@@ -224,27 +227,39 @@ def _chunks(text: str, size: int, margin: int) -> Iterator[tuple[int, str, int,
 _MATRIX = "array<struct<e:int,p:string,to:array<struct<e:int,p:string>>>>"
 
 
-def _states(rows: list[dict]) -> list[tuple[State, State]]:
-    """The pieces across both edges of each chunk, by a scan over the chunks' matrices."""
-    tables = [{(m["e"], m["p"]): [(t["e"], t["p"]) for t in m["to"]] for m in r["matrix"]} for r in rows]
-    # Suffix products say which edge pieces lead to the end; the first state then picks the one path.
-    ends: list[dict[State, list[State]]] = [tables[-1]]
+_PAIR = "struct<e:int,p:string>"
+
+
+def _table(matrix: list[dict]) -> dict[State, list[State]]:
+    return {(m["e"], m["p"]): [(t["e"], t["p"]) for t in m["to"]] for m in matrix}
+
+
+def _plain(m: dict[State, list[State]]) -> list[dict]:
+    return [{"e": e, "p": p, "to": [{"e": x, "p": y} for x, y in to]} for (e, p), to in m.items()]
+
+
+def _states(rows: list[dict], enter: State = (0, ""), leave: State = (0, "")) -> list[tuple[State, State]]:
+    """The pieces across both edges of each of some neighbours, given those across the outer edges."""
+    tables = [_table(r["matrix"]) for r in rows]
+    # Suffix products say which edge pieces lead to ``leave``; the first state then picks the one path.
+    ends: list[dict[State, list[State]]] = [{s: [leave] for s, to in tables[-1].items() if leave in to}]
     for t in reversed(tables[:-1]):
         ends.append(combine(t, ends[-1]))
     ends.reverse()
-    now, out = (0, ""), []
+    now, out = enter, []
     for k, t in enumerate(tables):
-        after = (0, "") if k == len(tables) - 1 else next(u for u in t[now] if u in ends[k + 1])
+        after = leave if k == len(tables) - 1 else next(u for u in t[now] if u in ends[k + 1])
         out.append((now, after))
         now = after
     return out
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
     """``(doc_id, ids)``: ids as little-endian 32-bit numbers, for each row.
 
     Null and empty texts have no ids; a null id keeps its row; repeated rows get a row each; an empty table gives none;
-    other columns are not read. Texts over ``chunk`` characters go through the scan over chunks.
+    other columns are not read. Texts over ``chunk`` characters go through the scan over chunks, ``fan`` at a time; a
+    text and its ids must fit in a row.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     giant = F.length("text") >= chunk
@@ -271,14 +286,32 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
             out = []
             for r in b.to_pylist():
                 m = s.matrix(r["part"], r["left"], r["right"], r["first"], r["final"])
-                out.append([{"e": e, "p": p, "to": [{"e": x, "p": y} for x, y in to]} for (e, p), to in m.items()])
+                out.append(_plain(m))
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("k"), pa.array(out, many)], names=["row", "k", "matrix"])
+
+    def product(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for chunks in b.column("chunks").to_pylist():
+                total = _table(chunks[0]["matrix"])
+                for c in chunks[1:]:
+                    total = combine(total, _table(c["matrix"]))
+                out.append(_plain(total))
             yield pa.RecordBatch.from_arrays([b.column("row"), b.column("k"), pa.array(out, many)], names=["row", "k", "matrix"])
 
     def edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [{"row": r["row"], "k": c["k"], "enter": {"e": x[0], "p": x[1]}, "leave": {"e": y[0], "p": y[1]}} for r in b.to_pylist() for c, (x, y) in zip(r["chunks"], _states(r["chunks"]), strict=True)]
+            out = []
+            for r in b.to_pylist():
+                outer = [(0, ""), (0, "")] if "enter" not in r else [(r[x]["e"], r[x]["p"]) for x in ("enter", "leave")]
+                for c, (x, y) in zip(r["chunks"], _states(r["chunks"], *outer), strict=True):
+                    out.append({"row": r["row"], "k": c["k"], "enter": {"e": x[0], "p": x[1]}, "leave": {"e": y[0], "p": y[1]}})
             yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("row", pa.int64()), ("k", pa.int32()), ("enter", one), ("leave", one)]))
 
+    def neighbours(table: DataFrame) -> DataFrame:
+        """FAN matrices in order, under the number of their product."""
+        return table.groupBy("row", F.floor(F.col("k") / fan).cast("int").alias("k")).agg(F.array_sort(F.collect_list(F.struct("k", "matrix"))).alias("chunks"))
+
     def traced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = scan(model)
         for b in batches:
@@ -288,8 +321,17 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
     short = docs.where(~F.coalesce(giant, F.lit(False))).mapInArrow(small, "doc_id long, ids binary")
     large = docs.where(giant).withColumn("row", F.monotonically_increasing_id())
     parts = stash(large.select("row", "doc_id", "text").mapInArrow(split, "row long, doc_id long, k int, part string, left int, right int, first boolean, final boolean"))
-    table = parts.repartition("row", "k").mapInArrow(matrices, f"row long, k int, matrix {_MATRIX}")
-    states = table.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("k", "matrix"))).alias("chunks")).mapInArrow(edges, "row long, k int, enter struct<e:int,p:string>, leave struct<e:int,p:string>")
+    levels = [parts.repartition("row", "k").mapInArrow(matrices, f"row long, k int, matrix {_MATRIX}")]
+    most = (parts.agg(F.max("k")).first()[0] or 0) + 1
+    while most > fan:
+        levels[-1] = stash(levels[-1])
+        levels.append(neighbours(levels[-1]).mapInArrow(product, f"row long, k int, matrix {_MATRIX}"))
+        most = -(-most // fan)
+    states = None
+    for level in reversed(levels):
+        found = neighbours(level)
+        found = found if states is None else found.join(states, ["row", "k"])
+        states = found.mapInArrow(edges, f"row long, k int, enter {_PAIR}, leave {_PAIR}")
     done = parts.join(states, ["row", "k"]).select("row", "doc_id", "k", "part", "left", "right", "final", "enter", "leave").mapInArrow(traced, "row long, doc_id long, k int, ids binary")
     joined = F.unhex(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "ids"))), lambda x: F.hex(x["ids"])), ""))
     return short.unionByName(done.groupBy("row", "doc_id").agg(joined.alias("ids")).select("doc_id", "ids"))
