@@ -175,10 +175,28 @@ def test_backoff_scores(spark, block):
         assert (r.mean_log_score is None) == (r.n_words == 0)
 
 
+def test_backoff_of_hostile_rows(spark, bad, empty):
+    want = brute_lm({i: r[1] or "" for i, r in enumerate(hostile())})
+    by = Counter((r[0], want[i][0], round(want[i][1], 4)) for i, r in enumerate(hostile()))
+    assert Counter((r.doc_id, r.n_words, round(r.log_score, 4)) for r in lm.score(bad, block_bytes=2000, part_grams=300).collect()) == by
+    assert lm.score(empty).count() == 0
+    same = spark.createDataFrame([(7, "one two three")] * 50, "doc_id long, text string")
+    got = {(r.n_words, round(r.log_score, 9)) for r in lm.score(same, block_bytes=100).collect()}
+    assert got == {(3, round(float(np.log(49 / (49 * 3 + 1)) + 0.0 + 0.0), 9))}
+
+
+def test_texts_are_exchanged_once(spark):
+    plan = lm.score(frame(spark, some_docs(11)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") == 1 or plan.count("hashpartitioning(block") == 3  # reuse is settled as the query runs
+
+
 def test_packed_numbers_come_back():
-    x = np.sort(np.random.default_rng(3).integers(0, 1 << 56, 1000, dtype=np.uint64))
-    assert (lm.unpacked(lm.packed(x, 7, True), 7, True) == x).all()
-    assert len(lm.unpacked(lm.packed(x[:0], 7, True), 7, True)) == 0
+    x = np.sort(np.random.default_rng(3).integers(0, 1 << 64, 1000, dtype=np.uint64))
+    assert (lm.unpacked(lm.packed(x, 8, True), 8, True) == x).all()
+    assert len(lm.unpacked(lm.packed(x[:0], 8, True), 8, True)) == 0
+    part, cut = lm._cuts(x, 7)
+    assert cut[0] == 0 and cut[-1] == 1000 and part.tolist() == list(range(7))
+    assert all(int(v) * 7 >> 64 == p for p, i, j in zip(part, cut[:-1], cut[1:], strict=True) for v in (x[i], x[j - 1]))
 
 
 # 3 ---------------------------------------------------------------------------------------------------------------
@@ -467,6 +485,8 @@ def test_giant_and_hostile_texts(spark, library, bad, empty):
     want = Counter((d, tuple(sp.encode(x or ""))) for d, x, *_ in hostile())
     assert Counter((r.doc_id, tuple(np.frombuffer(bytes(r.ids), "<i4").tolist())) for r in got) == want
     assert Counter((r.doc_id, r.text) for r in got) == Counter((d, sp.decode(sp.encode(x or ""))) for d, x, *_ in hostile())
+    tree = pieces.encode(bad, path, chunk=700, fan=3).collect()
+    assert Counter((r.doc_id, tuple(np.frombuffer(bytes(r.ids), "<i4").tolist())) for r in tree) == want
     assert pieces.encode(empty, path).count() == 0
 
 
