@@ -157,17 +157,27 @@ def merge_rescored(spark, sf):
     return features.merged(e.select("s1", "cand", "p"), _rescored(e).where("p1 BETWEEN 0.1 AND 0.9").select("s1", "cand", F.col("p2").alias("p"))).select("s1", "cand", "p")
 
 
-_REL = """n AS (SELECT *, CAST(s1 AS VARCHAR) AS a, CAST(cand AS VARCHAR) AS b, abs(s1 - cand) AS d,
-  length(CAST(s1 AS VARCHAR)) AS la, length(CAST(cand AS VARCHAR)) AS lb FROM e),
-m AS (SELECT *, la = lb AND len(list_filter(range(1, 9), lambda k: substr(a, k, 1) <> substr(b, k, 1))) = 1 AS one FROM n),
-c AS (SELECT *, CASE WHEN a = b THEN 'exact' WHEN lb < la AND contains(a, b) THEN 'digit_dropped' WHEN la < lb AND contains(b, a) THEN 'digit_added'
-  WHEN one AND d <= 2 THEN 'subst_d1_2' WHEN one AND d IN (6, 8) THEN 'subst_d6_8' WHEN one AND d < 10 THEN 'subst_d3_9' WHEN one AND d < 100 THEN 'subst_d10_99' WHEN one THEN 'subst_d100plus'
-  WHEN d <= 2 THEN 'diff_1_2' WHEN d <= 10 THEN 'diff_3_10' WHEN d <= 100 THEN 'diff_11_100' ELSE 'diff_100plus' END AS hn_rel FROM m)"""
+def _rel(a: str, b: str, rows: str) -> str:
+    """The relation classes in SQL, by rules of its own: places are unnested and counted, bands are looked up in a table of bounds."""
+    return f"""n AS (SELECT row_number() OVER () AS i, *, {a} AS na, {b} AS nb FROM {rows}),
+fg AS (SELECT *, regexp_replace(na, '[^0-9]', '', 'g') AS fa, regexp_replace(nb, '[^0-9]', '', 'g') AS fb FROM n),
+pl AS (SELECT i, count(*) AS changed FROM (SELECT i, fa, fb, unnest(range(1, 17)) AS k FROM fg) WHERE substr(fa, k, 1) <> substr(fb, k, 1) GROUP BY i),
+gp AS (SELECT fg.*, coalesce(changed, 0) AS changed, abs(TRY_CAST(substr(fa, 1, 12) AS BIGINT) - TRY_CAST(substr(fb, 1, 12) AS BIGINT)) AS gap FROM fg LEFT JOIN pl USING (i)),
+bands AS (SELECT * FROM (VALUES ('s', 0, 2, 'subst_d1_2'), ('s', 3, 5, 'subst_d3_9'), ('s', 6, 6, 'subst_d6_8'), ('s', 7, 7, 'subst_d3_9'), ('s', 8, 8, 'subst_d6_8'), ('s', 9, 9, 'subst_d3_9'),
+  ('s', 10, 99, 'subst_d10_99'), ('s', 100, 999999999999, 'subst_d100plus'), ('d', 0, 2, 'diff_1_2'), ('d', 3, 10, 'diff_3_10'), ('d', 11, 100, 'diff_11_100'), ('d', 101, 999999999999, 'diff_100plus')) AS t(kind, least, most, name)),
+kd AS (SELECT *, CASE WHEN na = '' AND nb = '' THEN 'none' WHEN '' IN (na, nb) THEN 'one_missing' WHEN na = nb THEN 'exact' WHEN '' IN (fa, fb) THEN 'other' WHEN fa = fb THEN 'letter_change'
+  WHEN length(fa) > length(fb) AND position(fb IN fa) > 0 THEN 'digit_dropped' WHEN length(fa) < length(fb) AND position(fa IN fb) > 0 THEN 'digit_added'
+  WHEN length(fa) = length(fb) AND changed = 1 THEN 's' ELSE 'd' END AS kind FROM gp),
+c AS (SELECT kd.* EXCLUDE (i, na, nb, fa, fb, changed, gap, kind), coalesce(bands.name, kd.kind) AS hn_rel FROM kd LEFT JOIN bands ON kd.kind = bands.kind AND gap BETWEEN least AND most)"""
+
+
+_REL = _rel("CAST(s1 AS VARCHAR)", "CAST(cand AS VARCHAR)", "e")
+# Numbers of ten and more figures that differ behind the eighth, some with letters.
+_LONG_A, _LONG_B = "'1234567' || lpad(CAST(s1 % 1000 AS VARCHAR), 3, '0') || CASE WHEN s1 % 7 = 0 THEN 'b' ELSE '' END", "'1234567' || lpad(CAST(cand % 1000 AS VARCHAR), 3, '0') || CASE WHEN cand % 11 = 0 THEN '5' ELSE '' END"
 
 
 def related(spark, sf):
-    e = edges(spark, sf)
-    return e.withColumn("hn_rel", numbers.number_relation(F.col("s1").cast("string"), F.col("cand").cast("string")))
+    return numbers.related(edges(spark, sf), F.col("s1").cast("string"), F.col("cand").cast("string"))
 
 
 @query("WITH {E}, " + _REL + " SELECT s1, cand, hn_rel FROM c")
@@ -175,6 +185,21 @@ def house_relation(spark, sf):
     return related(spark, sf).select("s1", "cand", "hn_rel")
 
 
+@query("WITH {E}, " + _rel(_LONG_A, _LONG_B, "e") + " SELECT s1, cand, hn_rel FROM c")
+def house_relation_long(spark, sf):
+    number = lambda k, n, end: F.concat(F.lit("1234567"), F.lpad((F.col(k) % 1000).cast("string"), 3, "0"), F.when(F.col(k) % n == 0, end).otherwise(""))
+    return numbers.related(edges(spark, sf), number("s1", 7, "b"), number("cand", 11, "5")).select("s1", "cand", "hn_rel")
+
+
+@query("""WITH {E}, x AS (SELECT s1, cand, CAST(s1 AS VARCHAR) AS p, CAST(cand AS VARCHAR) AS q FROM e),
+y AS (SELECT *, levenshtein(p, q) AS edits, (SELECT min(k) FROM unnest(range(1, 20)) AS t(k) WHERE substr(p, k, 1) <> substr(q, k, 1)) AS fst FROM x)
+SELECT s1, cand, CASE WHEN p = q THEN 'equal' WHEN length(p) = length(q) AND edits = 1 THEN 'substitution'
+  WHEN length(p) = length(q) AND substr(p, 1, fst - 1) || substr(p, fst + 1, 1) || substr(p, fst, 1) || substr(p, fst + 2) = q THEN 'transposition'
+  WHEN length(p) <> length(q) AND edits = 1 THEN 'insert_delete' WHEN abs(s1 - cand) <= 10 THEN 'offset' ELSE 'other' END AS hn7 FROM y""")
+def number_seven_classes(spark, sf):
+    return edges(spark, sf).select("s1", "cand", numbers.seven_classes(F.col("s1").cast("string"), F.col("cand").cast("string")).alias("hn7"))
+
+
 _PRI = """pr AS (SELECT coalesce(country, '*') AS country, hn_rel, count(*) AS n, count(*) * 1.0 / count(DISTINCT s1) AS pps, avg(label) AS prior, avg(p) AS mean_p
   FROM (SELECT *, CAST(s1 % 4 AS VARCHAR) AS country FROM c) GROUP BY GROUPING SETS ((country, hn_rel), (hn_rel)))"""
 
@@ -289,8 +314,9 @@ def macro_fbeta(spark, sf):
 @query("WITH {E}, " + _F + """, b AS (SELECT *, CASE WHEN k >= 7 THEN '7+' ELSE CAST(k AS VARCHAR) END AS kb FROM s)
 SELECT coalesce(CAST(country AS VARCHAR), 'ALL') AS country, coalesce(kb, 'ALL') AS kb, count(*) AS n, round(avg(f), 6) AS f FROM b GROUP BY GROUPING SETS ((), (country), (kb), (country, kb))""")
 def fbeta_breakdown(spark, sf):
-    scored(spark, sf).withColumn("kb", metrics.bucket(F.col("k"))).createOrReplaceTempView("linkloom_scored")
-    return spark.sql("SELECT coalesce(CAST(country AS STRING), 'ALL') AS country, coalesce(kb, 'ALL') AS kb, count(*) AS n, round(avg(f), 6) AS f FROM linkloom_scored GROUP BY GROUPING SETS ((), (country), (kb), (country, kb))")
+    x = scored(spark, sf).select(F.col("country").cast("string").alias("country"), metrics.bucket(F.col("k")).alias("kb"), "f")
+    g = x.groupingSets([[], ["country"], ["kb"], ["country", "kb"]], "country", "kb").agg(F.count("*").alias("n"), F.round(F.avg("f"), 6).alias("f"))
+    return g.na.fill("ALL", ["country", "kb"])
 
 
 @query("WITH {E}, " + _F + """ SELECT CASE WHEN f = 1 THEN 'perfect' WHEN k = 0 THEN 'false_link' WHEN m = 0 THEN 'empty_list' WHEN tp = 0 THEN 'all_wrong' WHEN tp = m THEN 'missing_only' ELSE 'mixed' END AS loss,
@@ -316,9 +342,9 @@ def rank_auc(spark, sf):
 r AS (SELECT rank() OVER (ORDER BY round(x, 9)) + (count(*) OVER (PARTITION BY round(x, 9)) - 1) / 2.0 AS rx, rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM a)
 SELECT round(corr(rx, ry), 6) AS rho, count(*) AS n FROM r""")
 def spearman(spark, sf):
-    a = edges(spark, sf).groupBy("s1").agg(F.round(F.sum("p"), 9).alias("x"), F.sum("label").alias("y")).withColumn("g", F.lit(1))
-    a = features.average_percentile(a, "x", ["g"]).withColumnRenamed("pct", "rx")
-    return features.average_percentile(a, "y", ["g"]).agg(F.round(F.corr("rx", "pct"), 6).alias("rho"), F.count("*").alias("n"))
+    a = edges(spark, sf).groupBy("s1").agg(F.round(F.sum("p"), 9).alias("x"), F.sum("label").cast("double").alias("y"))
+    a = features.overall_percentile(features.overall_percentile(a, "x", "rx"), "y", "ry")
+    return a.agg(F.round(F.corr("rx", "ry"), 6).alias("rho"), F.count("*").alias("n"))
 
 
 @query("""WITH {E}, x AS (SELECT CAST(s1 % 2 AS INTEGER) AS side, CAST(least(floor(p * 10), 9) AS INTEGER) AS bin, label FROM e),
@@ -341,9 +367,8 @@ def lift_table(spark, sf):
 
 @query("""WITH {E}, d AS (SELECT label, CAST(floor(((rank() OVER (ORDER BY p)) - 1) * 10.0 / count(*) OVER ()) AS INTEGER) AS decile FROM e) SELECT decile, count(*) AS n, round(avg(label), 6) AS rate FROM d GROUP BY decile""")
 def decile_rates(spark, sf):
-    by = edges(spark, sf).groupBy("p").agg(F.count("*").alias("n"), F.sum("label").alias("y"))
-    w = Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)  # over distinct scores
-    by = by.withColumn("d", F.floor(F.coalesce(F.sum("n").over(w), F.lit(0)) * 10 / F.sum("n").over(Window.partitionBy(F.lit(1)))).cast("int"))
+    by = features.running_counts(edges(spark, sf).groupBy("p").agg(F.count("*").alias("n"), F.sum("label").alias("y")), "p")
+    by = by.withColumn("d", F.floor(F.col("before") * 10 / F.col("total")).cast("int"))
     return by.groupBy(F.col("d").alias("decile")).agg(F.sum("n").alias("n"), F.round(F.sum("y") / F.sum("n"), 6).alias("rate"))
 
 

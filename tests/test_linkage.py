@@ -88,6 +88,15 @@ def test_number_relations(spark, a, b, want):
     assert spark.range(1).select(numbers.number_relation(F.lit(a), F.lit(b)).alias("r")).first().r == want
 
 
+def test_numbers_of_many_figures(spark):
+    rows = [("1234567890", "1234567850", "subst_d10_99"), ("1234567890", "1234567050", "diff_100plus"), ("123456789012", "923456789812", "diff_100plus"), ("1234567890123456", "1234567890123457", "subst_d1_2"), ("12345678901234567", "12345678901234568", "diff_1_2"), (None, "7", "one_missing")]
+    df = spark.createDataFrame([(a, b, c, a, b) for a, b, c in rows], "a string, b string, want string, p string, __q string")
+    for r in numbers.related(df.drop("__q"), F.col("a"), F.col("b")).collect():
+        assert r.hn_rel == r.want
+    for r in df.withColumn("r", numbers.number_relation(F.col("a"), F.col("b"))).collect():
+        assert r.r == r.want
+
+
 def test_text_keys(spark):
     one = lambda c: spark.range(1).select(c.alias("x")).first().x
     assert one(text.sorted_key(F.lit("b a b"))) == "a b"

@@ -74,7 +74,7 @@ def test_name_flags(spark):
     rows = df.select(*[c.alias(k) for k, c in f.items()]).collect()
     assert rows[0].alias and rows[0].leet and not rows[0].domain
     assert rows[1].domain and rows[1].bracket and not rows[1].alias
-    assert rows[2].allcaps and not any(rows[3])
+    assert rows[2].all_upper and not any(rows[3])
 
 
 PAIRS = [("Kamla Traders Pvt", "कमला ट्रेडर्स प्रा"), ("Ram Traders Pvt", "राम ट्रेडर्स प्रा"), ("Kamla Foods", "कमला फूड्स"), ("Ram Pvt", "राम प्रा"), ("", "राम"), (None, None), ("Plain", "plain")]
