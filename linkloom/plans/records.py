@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions import fuzzy, text
-from linkloom.operators import candidates, features
+from linkloom.operators import blocking, candidates, features
 from linkloom.plans.views import RECORDS, records, table, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,23 +28,39 @@ def query(sql: str | None = None):
 _KEY = "array_to_string(list_sort(list_distinct(list_filter(string_split(name_core, ' '), lambda x: x <> ''))), ' ')"
 
 
-def name_keys(r: DataFrame) -> DataFrame:
-    return r.select("id", "side", F.col("state_key").alias("blk"), text.sorted_key(F.col("name_core")).alias("key")).where(F.length("key") >= 2)
+def _keyed(spark, sf, kind):
+    return blocking.exact_keys(records(spark, sf), kind).select("id", "key")
 
 
 @query("WITH {R} SELECT id, " + _KEY + " AS key FROM r WHERE length(" + _KEY + ") >= 2")
 def key_name(spark, sf):
-    return name_keys(records(spark, sf)).select("id", "key")
+    return _keyed(spark, sf, "name")
 
 
-@query("WITH {R} SELECT id, replace(name_core, ' ', '') AS key FROM r WHERE length(replace(name_core, ' ', '')) >= 5")
+@query("WITH {R} SELECT DISTINCT id, key FROM (SELECT id, replace(name_core, ' ', '') AS key FROM r UNION ALL SELECT id, replace(name_norm, ' ', '') FROM r) WHERE length(key) >= 5")
 def key_compact(spark, sf):
-    return records(spark, sf).select("id", F.replace("name_core", F.lit(" "), F.lit("")).alias("key")).where(F.length("key") >= 5)
+    return _keyed(spark, sf, "compact")
 
 
 @query("WITH {R}, a AS (SELECT id, list_sort(list_distinct(list_filter(string_split(addr_norm, ' '), lambda x: x <> ''))) AS t FROM r) SELECT id, array_to_string(t, ' ') AS key FROM a WHERE len(t) >= 3")
 def key_addr(spark, sf):
-    return records(spark, sf).select("id", F.array_sort(F.array_distinct(text.tokens(F.col("addr_norm")))).alias("t")).where(F.size("t") >= 3).select("id", F.array_join("t", " ").alias("key"))
+    return _keyed(spark, sf, "addr")
+
+
+_STOP = "[" + ", ".join(f"'{w}'" for w in blocking.STREET_STOP) + "]"
+_STREET = f"""sw AS (SELECT r.*, array_to_string(list_sort(list_distinct(list_filter(string_split(addr_norm, ' '), lambda w: length(w) >= 2 AND NOT regexp_matches(w, '[0-9]') AND NOT list_contains({_STOP}, w)
+  AND NOT list_contains(string_split(city_key, ' '), w) AND NOT list_contains(string_split(state_key, ' '), w)))), ' ') AS street FROM r)"""
+
+
+@query("WITH {R}, " + _STREET + " SELECT id, ltrim(house_nums[1], '0') || '|' || street || '|' || city_key AS key FROM sw WHERE street <> '' AND city_key <> '' AND length(ltrim(house_nums[1], '0')) BETWEEN 1 AND 6")
+def key_akey(spark, sf):
+    return _keyed(spark, sf, "akey")
+
+
+@query("WITH {R}, " + _STREET + """ SELECT DISTINCT id, street || '|' || city_key || '|' || n AS key FROM (SELECT id, street, city_key, unnest([array_to_string(list_sort(list_distinct(string_split(name_core, ' '))), ''), name_compact]) AS n
+FROM sw WHERE street <> '' AND city_key <> '') WHERE length(n) >= 3""")
+def key_stname(spark, sf):
+    return _keyed(spark, sf, "stname")
 
 
 def _chain(c: str, dialect_group: str = "\\1") -> str:
@@ -64,6 +80,12 @@ def key_skel(spark, sf):
     return t.select("t", text.phonetic_key(F.col("t")).alias("phonetic"), text.skeleton_key(F.col("t")).alias("skeleton"))
 
 
+@query("WITH {R}, " + _T + ", d AS (SELECT DISTINCT t FROM t), p AS (SELECT t, " + _chain("t") + """ AS k FROM d), s AS (SELECT t, substr(k, 1, 1) || regexp_replace(substr(k, 2), '[aeiou]', '', 'g') AS s FROM p)
+SELECT id, string_agg(DISTINCT s, ' ' ORDER BY s) AS key FROM t JOIN s USING (t) WHERE s <> '' GROUP BY id HAVING length(string_agg(DISTINCT s, ' ' ORDER BY s)) >= 3""")
+def key_skel_joined(spark, sf):
+    return _keyed(spark, sf, "skel")
+
+
 def _tokens(r: DataFrame, least: int = 3) -> DataFrame:
     return r.select("id", "side", F.col("state_key").alias("blk"), F.explode(F.array_distinct(text.tokens(F.col("name_core")))).alias("t")).where(F.length("t") >= least)
 
@@ -71,28 +93,19 @@ def _tokens(r: DataFrame, least: int = 3) -> DataFrame:
 @query("WITH {R}, " + _T + """, df AS (SELECT t, count(*) AS df FROM t WHERE side > 0 AND length(t) >= 3 GROUP BY t),
 k AS (SELECT t.id, t.t, row_number() OVER (PARTITION BY id ORDER BY df, t.t) AS n FROM t JOIN df USING (t) WHERE side = 0) SELECT id, t AS key FROM k WHERE n <= 3""")
 def key_tok_rarest(spark, sf):
-    t = _tokens(records(spark, sf))
-    df = t.where("side > 0").groupBy("t").agg(F.count("*").alias("df"))
-    return candidates.rarest(t.where("side = 0").select("id", "t"), "id", "t", df, 3).select("id", F.col("t").alias("key"))
+    return blocking.token_keys(records(spark, sf)).where("side = 0").select("id", "key")
 
 
 _HN = """n AS (SELECT id, side, unnest(list_distinct(list_transform(regexp_extract_all(addr_norm, '[0-9]+'), lambda x: ltrim(x, '0')))) AS v FROM r),
-a AS (SELECT id, side, unnest(list_distinct(regexp_extract_all(addr_norm, '[a-z]{3,}'))) AS v FROM r),
+a AS (SELECT id, side, unnest(list_distinct(list_filter(string_split(addr_norm, ' '), lambda x: regexp_matches(x, '^[a-z]{3,}$')))) AS v FROM r),
 nd AS (SELECT v, count(*) AS df FROM n WHERE side > 0 GROUP BY v), ad AS (SELECT v, count(*) AS df FROM a WHERE side > 0 GROUP BY v),
 n3 AS (SELECT * FROM (SELECT n.*, row_number() OVER (PARTITION BY id ORDER BY df, v) AS k FROM n JOIN nd USING (v) WHERE length(v) BETWEEN 1 AND 6) WHERE k <= 3),
 a6 AS (SELECT * FROM (SELECT a.*, row_number() OVER (PARTITION BY id ORDER BY df, v) AS k FROM a JOIN ad USING (v)) WHERE k <= 6)"""
 
 
-def number_word_keys(r: DataFrame) -> DataFrame:
-    n = r.select("id", "side", F.explode(F.array_distinct(F.transform(F.regexp_extract_all("addr_norm", F.lit("[0-9]+"), F.lit(0)), lambda x: F.ltrim(x, F.lit("0"))))).alias("n")).where("length(n) BETWEEN 1 AND 6")
-    w = r.select("id", "side", F.explode(F.array_distinct(F.regexp_extract_all("addr_norm", F.lit("[a-z]{3,}"), F.lit(0)))).alias("w"))
-    df = lambda x, c: x.where("side > 0").groupBy(c).agg(F.count("*").alias("df"))
-    return candidates.rarest(n, "id", "n", df(n, "n"), 3).join(candidates.rarest(w.drop("side"), "id", "w", df(w, "w"), 6), "id").select("id", "side", F.concat("n", F.lit("|"), "w").alias("key"))
-
-
 @query("WITH {R}, " + _HN + " SELECT n3.id, n3.v || '|' || a6.v AS key FROM n3 JOIN a6 USING (id)")
 def key_hn(spark, sf):
-    return number_word_keys(records(spark, sf)).select("id", "key")
+    return blocking.number_word_keys(records(spark, sf)).select("id", "key")
 
 
 _CAP = """d AS (SELECT key, count(*) AS n FROM (SELECT DISTINCT id, key, blk FROM p) GROUP BY key), pb AS (SELECT DISTINCT p.* FROM p JOIN d USING (key) WHERE n > {cap} AND blk <> ''),
@@ -101,69 +114,85 @@ j AS (SELECT q.id AS qi, p.id AS pi FROM q JOIN p USING (key) JOIN d USING (key)
 _QP = "kk AS (SELECT id, side, state_key AS blk, " + _KEY + " AS key FROM r), q AS (SELECT * FROM kk WHERE side = 0 AND length(key) >= 2), p AS (SELECT id, key, blk FROM kk WHERE side > 0 AND length(key) >= 2)"
 
 
-def _pairs(keys: DataFrame, cap: int, block: int) -> DataFrame:
-    q, p = keys.where("side = 0").select(F.col("id").alias("qi"), "key", "blk"), keys.where("side > 0").select(F.col("id").alias("pi"), "key", "blk")
-    return candidates.capped_join(q, p, cap, block)
-
-
-@query("WITH {R}, " + _QP + ", " + _CAP.format(cap=3, block=5) + " SELECT qi, pi FROM j")
+@query("WITH {R}, " + _QP + ", " + _CAP.format(cap=30, block=150) + " SELECT qi, pi FROM j")
 def capped_join(spark, sf):
-    return _pairs(name_keys(records(spark, sf)), 3, 5)
+    return blocking.key_pairs(blocking.keys(records(spark, sf), ("name",))).select("qi", "pi")
 
 
-_TOK = _T + ", df AS (SELECT t, count(*) AS df FROM t WHERE side > 0 GROUP BY t), q AS (SELECT id, key, blk FROM (SELECT t.id, t.t AS key, t.state_key AS blk, row_number() OVER (PARTITION BY id ORDER BY df, t.t) AS n FROM t JOIN df USING (t) WHERE side = 0) WHERE n <= 3), p AS (SELECT id, t AS key, state_key AS blk FROM t WHERE side > 0)"
+_TOK = _T + ", tt AS (SELECT * FROM t WHERE length(t) >= 3), df AS (SELECT t, count(*) AS df FROM tt WHERE side > 0 GROUP BY t), q AS (SELECT id, key, blk FROM (SELECT tt.id, tt.t AS key, tt.state_key AS blk, row_number() OVER (PARTITION BY id ORDER BY df, tt.t) AS n FROM tt JOIN df USING (t) WHERE side = 0) WHERE n <= 3), p AS (SELECT id, t AS key, state_key AS blk FROM tt WHERE side > 0)"
 
 
 @query(
     "WITH {R}, na AS (WITH " + _QP + ", " + _CAP.format(cap=30, block=150) + " SELECT qi, pi, 'name' AS pass FROM j), to_ AS (WITH " + _TOK + ", " + _CAP.format(cap=30, block=150) + """ SELECT qi, pi, 'tok' AS pass FROM j)
-SELECT qi, pi, bool_or(pass = 'name') AS p_name, bool_or(pass = 'tok') AS p_tok, count(DISTINCT pass) AS n_passes FROM (SELECT * FROM na UNION ALL SELECT * FROM to_) GROUP BY qi, pi"""
+SELECT qi, pi, bool_or(pass = 'name') AS p_key_name, bool_or(pass = 'tok') AS p_key_tok, CAST(count(DISTINCT pass) AS INTEGER) AS n_passes FROM (SELECT * FROM na UNION ALL SELECT * FROM to_) GROUP BY qi, pi"""
 )
 def pass_union(spark, sf):
-    r = records(spark, sf)
-    t = _tokens(r)
-    df = t.where("side > 0").groupBy("t").agg(F.count("*").alias("df"))
-    q = candidates.rarest(t.where("side = 0"), "id", "t", df, 3)
-    tok = _pairs(q.unionByName(t.where("side > 0")).withColumnRenamed("t", "key"), 30, 150)
-    return candidates.union_passes({"name": _pairs(name_keys(r), 30, 150), "tok": tok})
+    passes = ("name", "tok")
+    keyed = blocking.key_pairs(blocking.keys(records(spark, sf), passes))
+    return blocking.union(keyed, None, passes, ()).select("qi", "pi", "p_key_name", "p_key_tok", "n_passes")
 
 
-_TF = """tk AS (SELECT id, side, country AS blk, unnest(list_filter(string_split(name_core, ' '), lambda x: x <> '')) AS t FROM r),
-gr AS (SELECT id, side, blk, unnest(list_transform(range(1, length(t) + 1), lambda i: substr(' ' || t || ' ', i, 3))) AS gram FROM tk),
-c AS (SELECT blk, id, side, gram, count(*) AS c FROM gr GROUP BY ALL), n AS (SELECT blk, count(DISTINCT id) AS n FROM gr GROUP BY blk),
+_MEMBERS = """n0 AS (SELECT city_key, state_key, count(*) AS n FROM r WHERE side = 0 AND state_key <> '' GROUP BY ALL), v0 AS (SELECT *, sum(n) OVER (PARTITION BY city_key) AS a FROM n0),
+alt AS (SELECT city_key, state_key AS alt FROM v0 WHERE a >= 20 AND n >= 0.8 * a),
+m AS (SELECT state_key AS blk, id, side, 'known' AS kind FROM r WHERE state_key <> '' UNION ALL SELECT alt, id, side, 'known' FROM r JOIN alt USING (city_key) WHERE side > 0 AND alt <> state_key
+  UNION ALL SELECT '<no state>', id, side, 'far' FROM r WHERE side > 0 OR state_key = '' UNION ALL SELECT '<pool without state>', id, side, 'fallback' FROM r WHERE CASE WHEN side = 0 THEN state_key <> '' ELSE state_key = '' END)"""
+
+
+@query("WITH {R}, " + _MEMBERS + " SELECT blk, id, side, kind FROM m")
+def block_members(spark, sf):
+    return blocking.members(records(spark, sf))
+
+
+@query("WITH {R}, " + _MEMBERS + " SELECT city_key, alt FROM alt")
+def city_vote_alt_block(spark, sf):
+    return blocking.city_blocks(records(spark, sf))
+
+
+_TF = _MEMBERS + """, tk AS (SELECT id, unnest(list_filter(string_split(FIELD, ' '), lambda x: x <> '')) AS t FROM r),
+gr AS (SELECT id, unnest(list_transform(range(1, length(t) + 1), lambda i: substr(' ' || t || ' ', i, 3))) AS gram FROM tk),
+c AS (SELECT blk, kind, m.id, side, gram, c FROM m JOIN (SELECT id, gram, count(*) AS c FROM gr GROUP BY ALL) USING (id)), n AS (SELECT blk, count(*) AS n FROM m GROUP BY blk),
 df AS (SELECT blk, gram, count(*) AS df FROM c GROUP BY ALL),
 w0 AS (SELECT c.*, ln(1 + c) * (ln((1.0 + n) / (1 + df)) + 1) AS w, df > greatest(n * 0.01, 200) AS common FROM c JOIN df USING (blk, gram) JOIN n USING (blk)),
 wt AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY blk, id)) AS u FROM w0),
-s AS (SELECT a.blk, a.id AS qi, b.id AS pi, round(sum(a.u * b.u), 6) AS score FROM wt a JOIN wt b ON a.blk = b.blk AND a.gram = b.gram AND SIDES AND NOT a.common GROUP BY ALL),
-k AS (SELECT *, row_number() OVER (PARTITION BY blk, qi ORDER BY score DESC, pi) AS rank FROM s WHERE score >= 0.05)
-SELECT blk, qi, pi, score, CAST(rank AS INTEGER) AS rank FROM k WHERE rank <= TOP"""
+s AS (SELECT a.blk, a.kind, a.id AS x, b.id AS y, round(sum(a.u * b.u), 6) AS score FROM wt a JOIN wt b ON a.blk = b.blk AND a.gram = b.gram AND SIDES AND NOT a.common GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY blk, x ORDER BY score DESC, y) AS rank FROM s WHERE score >= 0.05)
+SELECT ENDS, score, CAST(rank AS INTEGER) AS rank FROM k WHERE rank <= CASE WHEN kind = 'fallback' THEN LOW ELSE TOP END"""
 
 
-def _weights(spark, sf):
-    r = records(spark, sf)
-    return candidates.tfidf(r.select(F.col("country").alias("blk"), "id", "side", F.explode(text.grams(F.col("name_core"))).alias("gram")))
+def _tfidf_sql(field: str, forward: bool) -> str:
+    sides, ends, top, low = ("a.side = 0 AND b.side > 0", "x AS qi, y AS pi", "20", "5") if forward else ("a.side > 0 AND b.side = 0", "y AS qi, x AS pi", "3", "3")
+    return "WITH {R}, " + _TF.replace("FIELD", field).replace("SIDES", sides).replace("ENDS", ends).replace("TOP", top).replace("LOW", low)
+
 
+def _tfidf(spark, sf, field: str, way: str) -> DataFrame:
+    s = blocking.similar_pairs(blocking.weights(records(spark, sf), (field,)), field)
+    return s.where(F.col("pass") == f"{field}_{way}").select("qi", "pi", "score", "rank")
 
-@query("WITH {R}, " + _TF.replace("SIDES", "a.side = 0 AND b.side > 0").replace("TOP", "20"))
+
+@query(_tfidf_sql("name_core", True))
 def trigram_tfidf_topk_fwd(spark, sf):
-    return candidates.similar(_weights(spark, sf), F.col("side") == 0, 20)
+    return _tfidf(spark, sf, "name", "fwd")
 
 
-@query("WITH {R}, " + _TF.replace("SIDES", "a.side > 0 AND b.side = 0").replace("TOP", "3"))
+@query(_tfidf_sql("name_core", False))
 def trigram_tfidf_topk_rev(spark, sf):
-    return candidates.similar(_weights(spark, sf), F.col("side") > 0, 3)
+    return _tfidf(spark, sf, "name", "rev")
 
 
-@query("""WITH {R}, c AS (SELECT country, state_key, count(*) FILTER (WHERE side = 0) AS n FROM r GROUP BY ALL), t AS (SELECT *, sum(n) OVER (PARTITION BY country) AS all_n FROM c)
-SELECT country, state_key, CAST(all_n AS BIGINT) AS n, round(n * 1.0 / all_n, 6) AS share FROM t WHERE all_n >= 20 AND n >= 0.2 * all_n""")
-def city_vote_alt_block(spark, sf):
-    c = records(spark, sf).groupBy("country", "state_key").agg(F.sum((F.col("side") == 0).cast("int")).alias("k"))
-    c = c.withColumn("n", F.sum("k").over(Window.partitionBy("country")))
-    return c.where("n >= 20 AND k >= 0.2 * n").select("country", "state_key", "n", F.round(F.col("k") / F.col("n"), 6).alias("share"))
+@query(_tfidf_sql("addr_norm", True))
+def trigram_tfidf_address(spark, sf):
+    return _tfidf(spark, sf, "addr", "fwd")
+
+
+@query()
+def generate_candidates(spark, sf):
+    """All passes, fields and blocks, capped; tested against brute force on a small fixture."""
+    return blocking.generate(records(spark, sf), blocking.Blocking(cap=60))
 
 
 def token_pairs(r: DataFrame) -> DataFrame:
-    """Pairs that share a name's word, from the capped pass."""
-    return _pairs(_tokens(r).withColumnRenamed("t", "key"), 10, 20)
+    """Pairs that share one of the entity's rarest words, from the capped pass."""
+    return blocking.key_pairs(blocking.keys(r, ("tok",))).select("qi", "pi")
 
 
 def _name_pairs(r: DataFrame) -> DataFrame:
@@ -172,7 +201,7 @@ def _name_pairs(r: DataFrame) -> DataFrame:
     return token_pairs(r).join(side.select(F.col("id").alias("qi"), F.col("t").alias("tq"), F.col("name_core").alias("nq")), "qi").join(side.select(F.col("id").alias("pi"), F.col("t").alias("tp"), F.col("name_core").alias("np")), "pi")
 
 
-_NP = _T + ", tt AS (SELECT id, t AS key, state_key AS blk, side FROM t WHERE length(t) >= 3), q AS (SELECT * FROM tt WHERE side = 0), p AS (SELECT id, key, blk FROM tt WHERE side > 0), " + _CAP.format(cap=10, block=20) + ", st AS (SELECT id, list_distinct(list_filter(string_split(name_core, ' '), lambda x: x <> '')) AS t, name_core FROM r), np AS (SELECT qi, pi, a.t AS tq, b.t AS tp, a.name_core AS nq, b.name_core AS np FROM j JOIN st a ON a.id = qi JOIN st b ON b.id = pi)"
+_NP = _TOK + ", " + _CAP.format(cap=30, block=150) + ", st AS (SELECT id, list_distinct(list_filter(string_split(name_core, ' '), lambda x: x <> '')) AS t, name_core FROM r), np AS (SELECT qi, pi, a.t AS tq, b.t AS tp, a.name_core AS nq, b.name_core AS np FROM j JOIN st a ON a.id = qi JOIN st b ON b.id = pi)"
 
 
 @query("WITH {R}, " + _NP + " SELECT qi, pi, CAST(len(list_intersect(tq, tp)) AS INTEGER) AS tok_inter, round(len(list_intersect(tq, tp)) * 1.0 / len(list_distinct(list_concat(tq, tp))), 6) AS tok_jacc FROM np")
@@ -180,9 +209,9 @@ def token_jaccard(spark, sf):
     return _name_pairs(records(spark, sf)).select("qi", "pi", F.size(F.array_intersect("tq", "tp")).alias("tok_inter"), F.round(text.jaccard(F.col("tq"), F.col("tp")), 6).alias("tok_jacc"))
 
 
-@query("WITH {R}, " + _NP + """, pool AS (SELECT count(*) AS n FROM r WHERE side > 0), df AS (SELECT t, count(*) AS df FROM t WHERE side > 0 GROUP BY t),
+@query("WITH {R}, " + _NP + """, pool AS (SELECT count(*) AS n FROM r WHERE side > 0), df2 AS (SELECT t, count(*) AS df FROM t WHERE side > 0 GROUP BY t),
 iq AS (SELECT qi, pi, t, list_contains(tp, t) AS hit, true AS mine FROM (SELECT qi, pi, tp, unnest(tq) AS t FROM np)), ip AS (SELECT qi, pi, t, list_contains(tq, t) AS hit, false AS mine FROM (SELECT qi, pi, tq, unnest(tp) AS t FROM np)),
-x AS (SELECT u.*, ln((n + 1.0) / (coalesce(df, 0) + 1)) + 1 AS idf FROM (SELECT * FROM iq UNION ALL SELECT * FROM ip) u LEFT JOIN df USING (t) CROSS JOIN pool),
+x AS (SELECT u.*, ln((n + 1.0) / (coalesce(df, 0) + 1)) + 1 AS idf FROM (SELECT * FROM iq UNION ALL SELECT * FROM ip) u LEFT JOIN df2 USING (t) CROSS JOIN pool),
 g AS (SELECT qi, pi, sum(idf) FILTER (WHERE mine AND hit) AS i, sum(idf) FILTER (WHERE mine) AS a, sum(idf) FILTER (WHERE NOT mine) AS b FROM x GROUP BY qi, pi)
 SELECT qi, pi, round(coalesce(i, 0) / (a + b - coalesce(i, 0)), 6) AS idf_overlap, round(coalesce(i, 0) / least(a, b), 6) AS idf_contain FROM g""")
 def idf_overlap(spark, sf):
