@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import gazetteers as g
 from linkloom.functions import text
 from linkloom.operators import candidates
-from linkloom.session import cut
+from linkloom.session import cut, spread
 
 STREET_PASSES = ("akey", "stname")
 KEY_PASSES = ("name", "compact", "addr", "skel", "tok", "hn", *STREET_PASSES)
@@ -236,6 +236,7 @@ def reserve_hits() -> Column:
 
 def generate(r: DataFrame, how: Blocking = Blocking(), passes: tuple[str, ...] = KEY_PASSES, city_alt: bool = True) -> DataFrame:
     """``(s1, cand, passes, scores, ranks, n_passes, p_key_hit, prio)``: all candidates, capped for each entity, with a reserve of the street passes'."""
+    r = cut(spread(r, "id"))  # read by every pass
     keyed = key_pairs(keys(r, passes, how), how)
     scored = None
     if how.fields:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import fuzzy, text
 from linkloom.operators import blocking, candidates, features
 from linkloom.plans.views import RECORDS, records, table, vectors
+from linkloom.session import cut, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -234,13 +235,13 @@ def levenshtein_sim(spark, sf):
 
 @query("WITH {R}, " + _NP + " SELECT qi, pi, round(jaro_winkler_similarity(nq, np), 6) AS jw FROM np")
 def jaro_winkler(spark, sf):
-    x = _name_pairs(records(spark, sf)).select("qi", "pi", fuzzy.scores(F.col("nq"), F.col("np")).alias("s"))
+    x = spread(_name_pairs(cut(records(spark, sf))), "nq", "np").select("qi", "pi", fuzzy.scores(F.col("nq"), F.col("np")).alias("s"))
     return x.select("qi", "pi", F.round("s.jaro_winkler", 6).alias("jw"))
 
 
 @query()
 def fuzzy_scores(spark, sf):
-    x = _name_pairs(records(spark, sf)).select("qi", "pi", fuzzy.scores(F.col("nq"), F.col("np")).alias("s"))
+    x = spread(_name_pairs(cut(records(spark, sf))), "nq", "np").select("qi", "pi", fuzzy.scores(F.col("nq"), F.col("np")).alias("s"))
     return x.select("qi", "pi", *[F.round(f"s.{f}", 6).alias(f) for f in fuzzy.FIELDS])
 
 
