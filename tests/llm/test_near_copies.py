@@ -81,5 +81,20 @@ def test_pairs_away_from_the_smallest_node_are_found(spark):
     far, base = np.arange(1000, 1100, dtype=np.uint64), np.arange(100, dtype=np.uint64)
     sets = {1: far, 2: base, 3: base[:90], 4: np.arange(2000, 2100, dtype=np.uint64)}
     members = spark.createDataFrame([(7, 1, k, len(v)) for k, v in sets.items()], "cell long, lead long, node long, n int")
-    found = minhash.links(members, spark.createDataFrame([(k, bytearray(v.tobytes())) for k, v in sets.items()], "node long, s binary"), 0.8)
+    marks = spark.createDataFrame([(k, len(v), bytearray(minhash.bitmap(v))) for k, v in sets.items()], "node long, n int, bits binary")
+    found = minhash.links(members, spark.createDataFrame([(k, bytearray(v.tobytes())) for k, v in sets.items()], "node long, s binary"), marks, 0.8)
     assert [tuple(r) for r in found.select(F.least("a", "b"), F.greatest("a", "b")).collect()] == [(2, 3)]
+
+
+def test_bitmaps_rule_out_no_similar_pair(spark):
+    rng = np.random.default_rng(6)
+    sets = {}
+    for i in range(40):
+        base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+        sets[2 * i] = np.unique(base)
+        sets[2 * i + 1] = np.unique(np.concatenate((base[: 300 - 2 * i], rng.integers(0, 1 << 63, i, dtype=np.uint64))))
+    marks = spark.createDataFrame([(k, len(v), bytearray(minhash.bitmap(v))) for k, v in sets.items()], "node long, n int, bits binary")
+    pairs = spark.createDataFrame([(a, b) for a in sets for b in sets if a < b], "a long, b long")
+    got = {(r.a, r.b) for r in minhash._possible(pairs, marks, 0.8).collect()}
+    assert {(a, b) for a in sets for b in sets if a < b and minhash.similar(sets[a], sets[b], 0.8)} <= got and len(got) < 45
+    assert minhash._possible(pairs.limit(0), marks, 0.8).count() == 0
