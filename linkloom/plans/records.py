@@ -187,7 +187,7 @@ def trigram_tfidf_address(spark, sf):
 
 @query()
 def generate_candidates(spark, sf):
-    """All passes, fields and blocks, capped; tested against brute force on a small fixture."""
+    """All passes, fields and blocks, capped. Its parts have twins of their own."""
     return blocking.generate(records(spark, sf), blocking.Blocking(cap=60))
 
 
