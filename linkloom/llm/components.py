@@ -17,10 +17,17 @@ def checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder or "/tmp/checkpoints")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a reliable checkpoint in the shared folder."""
+#: Rows of two longs that a checkpoint's task writes, and the tasks that are always allowed.
+TASK_ROWS, LEAST_TASKS = 100_000, 24
+
+
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` with its lineage cut by a reliable checkpoint in the shared folder.
+
+    Where no more than ``rows`` short rows are to be expected, it is written in as many files as they need.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return (df if rows is None else df.coalesce(max(LEAST_TASKS, rows // TASK_ROWS))).checkpoint(eager=True)
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -31,15 +38,15 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     sides of a join are plain exchanges, which adaptive execution splits where a hub holds many edges.
     """
     links = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
+    before, most = None, 2 * links.count()
     for _ in range(rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), most)
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = cut(large)
-        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        large = cut(large, most)
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")), most)
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        links = cut(small.select("e.u", "e.v").where("u <> v").distinct())
+        links = cut(small.select("e.u", "e.v").where("u <> v").distinct(), most)
         state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
