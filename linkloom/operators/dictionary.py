@@ -4,19 +4,25 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkloom.functions import scripts, text
 from linkloom.functions.fuzzy import jaro_winkler
+from linkloom.session import stored
 
+#: Words that are broadcast, at most.
+HELD = 200_000
 #: The text in runs of native letters and of anything else.
 PARTS = "[ऀ-ൿ‌‍]+|[^ऀ-ൿ‌‍]+"
 WORD = re.compile("[0-9a-zऀ-ൿ‌‍]+")
 
 
+@lru_cache(1 << 16)
 def phonetic(word: str) -> str:
     """``functions.text.phonetic_key`` of one word."""
     for pattern, to in text.PHONETIC:
@@ -24,25 +30,35 @@ def phonetic(word: str) -> str:
     return word
 
 
+@lru_cache(1 << 16)
+def _sound(native: str) -> str:
+    return phonetic(re.sub("[^a-z0-9]", "", scripts.latin_word(native)))
+
+
+_alike = lru_cache(1 << 17)(jaro_winkler)
+
+
 def aligned(native: list[str], latin: list[str], least: float) -> list[str | None]:
     """For each native word in turn, the unused Latin word that sounds most alike, if at least ``least``; ties to the first."""
     keys = {x: phonetic(x) for x in latin}
     free, out = list(keys), []
     for word in native:
-        sound = phonetic(re.sub("[^a-z0-9]", "", scripts.latin_word(word)))
-        scored = [jaro_winkler(sound, keys[x]) for x in free]
+        sound = _sound(word)
+        same = next((x for x in free if keys[x] == sound), None) if sound and least <= 1 else None
+        if same is not None:  # nothing sounds more alike
+            free.remove(same)
+            out.append(same)
+            continue
+        scored = [_alike(sound, keys[x]) for x in free]
         best = max(scored, default=0.0)
         out.append(free.pop(scored.index(best)) if best >= least and best > 0 else None)
     return out
 
 
-def _words(latin: pd.Series, native: pd.Series, least: float) -> pd.DataFrame:
-    rows = []
-    for a, b in zip(latin.fillna(""), native.fillna(""), strict=True):
-        n = [scripts.INVISIBLE.sub("", w) for w in WORD.findall(unicodedata.normalize("NFC", b).lower()) if scripts.INDIC.search(w)]
-        x = re.findall("[0-9a-z]+", scripts.folded(a))
-        rows.append((n, x, aligned(n, x, least) if x else [None] * len(n)))
-    return pd.DataFrame(rows, columns=["native", "latin", "match"])
+def _words(latin: str | None, native: str | None, least: float) -> tuple[list[str], list[str], list[str | None]]:
+    n = [scripts.INVISIBLE.sub("", w) for w in WORD.findall(unicodedata.normalize("NFC", native or "").lower()) if scripts.INDIC.search(w)]
+    x = re.findall("[0-9a-z]+", scripts.folded(latin or ""))
+    return n, x, aligned(n, x, least) if x else [None] * len(n)
 
 
 def learn(pairs: DataFrame, min_support: int = 2, min_share: float = 0.4, least: float = 0.55) -> DataFrame:
@@ -52,19 +68,23 @@ def learn(pairs: DataFrame, min_support: int = 2, min_share: float = 0.4, least:
     if that stands in the pair. A word keeps its most voted Latin form with enough votes in enough of its pairs. Ties go
     to the smaller word. Pairs without native or without Latin words, and null names, say nothing.
 
-    Only words are exchanged, and all counts combine before the exchange, so a very common word is one row of each task.
+    Words are taken from the names once. Only words are exchanged, and all counts combine before the exchange, so a very common word is one row of each task.
     """
     schema = "native array<string>, latin array<string>, match array<string>"
 
-    def words(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        return _words(a, b, least)
+    def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strings = pa.list_(pa.string())
+        for b in batches:
+            rows = [r for r in (_words(x, y, least) for x, y in zip(b.column("latin").to_pylist(), b.column("native").to_pylist(), strict=True)) if r[0] and r[1]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], strings) for k in range(3)], names=["native", "latin", "match"])
 
-    words.__annotations__ = {"a": pd.Series, "b": pd.Series, "return": pd.DataFrame}
-    split = F.pandas_udf(words, schema)
-    w = pairs.select(split("latin", "native").alias("w")).select("w.*").where("size(native) > 0 AND size(latin) > 0")
+    w = stored(pairs.select("latin", "native").mapInArrow(words, schema))
     of_native = w.select(F.explode(F.array_distinct("native")).alias("t")).groupBy("t").agg(F.count("*").alias("n"))
     of_latin = w.select(F.explode(F.array_distinct("latin")).alias("x")).groupBy("x").agg(F.count("*").alias("m"))
-    both = w.select(F.explode(F.array_distinct("native")).alias("t"), "latin").select("t", F.explode(F.array_distinct("latin")).alias("x")).groupBy("t", "x").agg(F.count("*").alias("c"))
+    # Only native words that some pair leaves without a Latin word need the words they share pairs with.
+    left = stored(w.where(F.exists("match", lambda x: x.isNull())).select(F.explode(F.arrays_zip("native", "match")).alias("z")).where("z.match IS NULL").select(F.col("z.native").alias("t")).distinct())
+    left = F.broadcast(left) if left.count() <= HELD else left
+    both = w.select(F.explode(F.array_distinct("native")).alias("t"), "latin").join(left, "t", "left_semi").select("t", F.explode(F.array_distinct("latin")).alias("x")).groupBy("t", "x").agg(F.count("*").alias("c"))
     dice = both.join(of_native, "t").join(of_latin, "x").groupBy("t").agg(F.min_by("x", F.struct(-2 * F.col("c") / (F.col("n") + F.col("m")), "x")).alias("dice"))
     each = w.select(F.explode(F.arrays_zip("native", "match")).alias("z"), "latin").select(F.col("z.native").alias("t"), F.col("z.match").alias("x"), "latin")
     found = each.where("x IS NOT NULL").groupBy("t", "x").agg(F.count("*").alias("c"))

@@ -154,3 +154,12 @@ def test_city_of_most_addresses(spark):
     prior = spark.createDataFrame([("US", "bar", 9)], "country string, city string, n long")
     assert {r.id: r.city_key for r in addresses.address_columns(df, prior=prior).collect()}[1] == "bar"
     assert addresses.address_columns(df.limit(0)).count() == 0
+
+
+def test_names_are_split_into_words_once(spark):
+    from linkloom.operators import dictionary
+
+    pairs = spark.createDataFrame([("zeta karan", "करन ज़"), ("karan", "करन"), ("karan mo", "करन")], "latin string, native string")
+    plan = dictionary.learn(pairs)
+    assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert {r.native: r.latin for r in plan.collect()}["करन"] == "karan"
