@@ -163,3 +163,14 @@ def test_names_are_split_into_words_once(spark):
     plan = dictionary.learn(pairs)
     assert "Python" not in plan._jdf.queryExecution().executedPlan().toString()
     assert {r.native: r.latin for r in plan.collect()}["करन"] == "karan"
+
+
+def test_addresses_are_not_joined_with_their_rows(spark, monkeypatch):
+    rows = [(i, a, c) for i, (a, c) in enumerate([("12 Main Street, Foo, Barton, Texas", "US"), ("7 Elm St, Barton, TX", "US"), ("7 Elm St, Barton, TX", None), (None, "US"), ("rue de la Paix 5, Paris", "France"), ("12 Main Street, Foo, Barton, Texas", "US")])]
+    df = spark.createDataFrame(rows, "id long, business_address string, country string")
+    out = addresses.address_columns(df)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: r for r in out.collect()}
+    assert got[0].city_key == got[1].city_key == "barton" and got[3].city_key == "" and got[3].addr_norm == ""
+    monkeypatch.setattr(addresses, "HELD", -1)
+    assert {r.id: r for r in addresses.address_columns(df).collect()} == got
