@@ -177,7 +177,7 @@ class WordTokenizer:
 
     def encode(self, docs: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        return [self.ids(x.decode()).tobytes() if b"<|" in x else b"".join(b"".join(self.recent.values(p.split())) for p in spans(x)) for x in docs]
+        return [self.ids(x.decode()).tobytes() if b"<|" in x else b"".join(b"".join(self.recent.values(p.lower().split())) for p in spans(x)) for x in docs]
 
 
 _encoders: dict[str, WordTokenizer] = {}
