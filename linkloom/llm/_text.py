@@ -6,6 +6,7 @@ UTF-8 never uses those bytes inside a character, so splitting bytes equals split
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Hashable, Iterable, Iterator
 
@@ -35,8 +36,18 @@ def texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: a worker goes from task to task and stage to stage, and what it holds unused adds to an executor's."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", most: int = STEP) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about ``most`` bytes of text, or one row if that is longer."""
+    """The batches cut so that each holds about ``most`` bytes of text, or one row if that is longer; memory is trimmed before the first and behind the last."""
+    trim()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -50,6 +61,7 @@ def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", most: int =
         bounds.append((first, batch.num_rows))
         for a, b in bounds:
             yield batch.slice(a, b - a)
+    trim()
 
 
 def spans(text: bytes, most: int = STEP) -> Iterator[bytes]:

@@ -180,13 +180,13 @@ class WordTokenizer:
         return [self.ids(x.decode()).tobytes() if b"<|" in x else b"".join(b"".join(self.recent.values(p.lower().split())) for p in spans(x)) for x in docs]
 
 
-_encoders: dict[str, WordTokenizer] = {}
+_encoders: dict[tuple[str, int], WordTokenizer] = {}
 
 
-def encoder(path: str) -> WordTokenizer:
-    if path not in _encoders:
-        _encoders[path] = WordTokenizer(path)
-    return _encoders[path]
+def encoder(path: str, words: int = 650_000) -> WordTokenizer:
+    if (path, words) not in _encoders:
+        _encoders[path, words] = WordTokenizer(path, words)
+    return _encoders[path, words]
 
 
 def pack(df: DataFrame, encode: Callable[[list[bytes]], list[bytes]], limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text", prompt_col: str | None = None, end_id: int = 2) -> DataFrame:
@@ -227,6 +227,6 @@ def pack(df: DataFrame, encode: Callable[[list[bytes]], list[bytes]], limits: Li
     return df.select(*cols).mapInArrow(run, PIECE)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits()) -> DataFrame:
-    """``pack`` with the words of ``tokenizer``, a file for the tokenizers library."""
-    return pack(docs, lambda x: encoder(tokenizer).encode(x), limits)
+def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), words: int = 650_000) -> DataFrame:
+    """``pack`` with the words of ``tokenizer``, a file for the tokenizers library; a worker remembers about ``words`` of them twice over."""
+    return pack(docs, lambda x: encoder(tokenizer, words).encode(x), limits)
