@@ -49,3 +49,10 @@ def test_no_records_give_no_pairs(spark, few):
     assert blocking.block_pairs(few.where("side = 0"), "both").count() == 0
     blank = few.withColumn("name_core", F.lit(""))
     assert blocking.block_pairs(blank, "name").count() == 0
+
+
+@pytest.mark.parametrize("name", ["trigram_tfidf_topk_rev", "trigram_tfidf_address"])
+def test_reverse_and_address_make_their_matches_inside_tasks(spark, monkeypatch, name):
+    """Neither query joins weights by gram."""
+    monkeypatch.setattr(blocking, "weights", lambda *a, **k: pytest.fail("grams are exchanged"))
+    assert plans.QUERIES[name](spark, SF).count() > 1000
