@@ -8,7 +8,8 @@ A giant text is split into chunks at fixed places. Each chunk yields, on its own
 cross its left edge to those that may cross its right edge. Matrices combine associatively, so they are multiplied up a
 tree in which a task sees FAN neighbours at a time; the pieces across all edges are then found down the same tree, and
 from them each chunk is traced back on its own. No piece holds a space mark behind another character, so between two
-words the state does not matter, and words are traced once for all their occurrences.
+words the state does not matter, and words are traced once for all their occurrences. Only one path leads from a start to
+any place, so a word's path is looked for in depth, longest pieces first, and a place that leads nowhere is given up.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,12 @@ CHUNK = 32_768
 FAN = 64
 #: Words of a generation remembered by a worker; all others are traced again.
 WORDS = 250_000
+#: Pairs of pieces of which a worker remembers whether they may stand beside each other.
+PAIRS = 200_000
+#: Pieces whose merges a worker remembers.
+PIECES = 50_000
 _MARK = "▁"
+_NEVER = float("-inf")
 _SIGNS = ".,;:!?%$#&*|"
 _SEGMENT = re.compile(f"{_MARK}+[^{_MARK}\n]*|\n+|[^{_MARK}\n]+")
 State = tuple[int, str]  # where the piece across an edge ends, counted from the edge, and the piece
@@ -63,27 +70,55 @@ class Scan:
         if any(_MARK in p.lstrip(_MARK) or "\n" in p for p in self.scores):
             raise ValueError("the model has pieces across words")
         self.sound = {p for p in self.scores if len(p) == 1 or self.merged(p) == [p]}
-        # Beginnings of pieces, and whether each may stand by itself in a path.
-        self.heads = {p[:n]: n == 1 or p[:n] in self.sound for p in self.scores for n in range(1, len(p) + 1)}
+        # Beginnings of pieces, each with those of its own beginnings that may stand by themselves in a path, longest first.
+        self.heads: dict[str, tuple[str, ...]] = {}
+        for head in sorted({p[:n] for p in self.scores for n in range(1, len(p) + 1)}, key=len):
+            shorter = self.heads.get(head[:-1], ())
+            self.heads[head] = (head, *shorter) if len(head) == 1 or head in self.sound else shorter
         self.codes = {p: np.array(i, "<i4").tobytes() for p, i in self.ids.items()}
-        self.fits = lru_cache(300_000)(lambda a, b: a + b not in self.sound and self.merged(a + b) == [a, b])
+        self.fits = lru_cache(PAIRS)(self.beside)
+        # The merges inside a piece: score of the next, first and last part before it.
+        self.steps = lru_cache(PIECES)(lambda p: tuple((score, parts[0], parts[-1]) for score, parts in self.merges(p)))
         self.recent = Recent(WORDS, lambda words: list(self.learn(words)))
         self.pairs = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
 
-    def merged(self, text: str) -> list[str]:
-        """What the merges yield: the pair of the best score first, of equal ones the leftmost."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = self.scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
-                break
+    def merges(self, text: str) -> Iterator[tuple[float, list[str]]]:
+        """What stands there before each merge and behind the last, and the next merge's score. The pair of the best score first, of equal ones the leftmost."""
+        score, parts = self.scores.get, list(text)
+        pairs = [score(a + b, _NEVER) for a, b in pairwise(parts)]
+        while pairs and (best := max(pairs)) > _NEVER:
+            yield best, parts
+            at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = score(parts[at - 1] + parts[at], _NEVER)
+            if at < len(pairs):
+                pairs[at] = score(parts[at] + parts[at + 1], _NEVER)
+        yield _NEVER, parts
+
+    def merged(self, text: str) -> list[str]:
+        """What the merges yield."""
+        parts: list[str] = []
+        for _, parts in self.merges(text):  # noqa: B007
+            pass
         return parts
 
+    def beside(self, a: str, b: str) -> bool:
+        """Whether the merges of ``a + b`` yield [a, b], each of which they yield for itself: no merge may cross before both are whole."""
+        score, left, right = self.scores.get, iter(self.steps(a)), iter(self.steps(b))
+        (x, _, last), (y, first, _) = next(left), next(right)
+        while True:
+            across = score(last + first, _NEVER)
+            if across > x and across >= y:
+                return False
+            if x < y:
+                y, first, _ = next(right)
+            elif x > _NEVER:
+                x, _, last = next(left)
+            else:
+                return True
+
     def forward(self, text: str, start: int, last: str, end: int) -> dict[int, tuple[str, int]]:
         """For each place up to ``end``, the piece that ends there on the one path from ``last`` at ``start``, and its start."""
         at: dict[int, tuple[str, int]] = {start: (last, -1)}
@@ -94,10 +129,10 @@ class Scan:
             before = at[i][0]
             for j in range(i + 1, end + 1):
                 piece = text[i:j]
-                whole = heads(piece, j == i + 1 or None)
-                if whole is None:
+                whole = heads(piece) or (j == i + 1 and (piece,))
+                if not whole:
                     break
-                if whole and j not in at and (not before or fits(before, piece)):
+                if len(whole[0]) == j - i and j not in at and (not before or fits(before, piece)):
                     at[j] = (piece, i)
         return at
 
@@ -112,9 +147,40 @@ class Scan:
         codes = self.codes
         return b"".join([codes.get(p) or np.array([self.bytes[b] for b in p.encode()], "<i4").tobytes() for p in parts])
 
+    def path(self, s: str) -> list[str]:
+        """The one path over a whole segment, longest pieces first. A place is left for good: only one path leads there from the start."""
+        heads, fits, end = self.heads.get, self.fits, len(s)
+        out: list[str] = []
+        untried: list[Iterator[str]] = []  # pieces that may still follow each place of ``out``
+        dead = set()
+        at, before = 0, ""
+        while at < end:
+            found = heads(s[at]) or (s[at],)
+            j = at + 2
+            while j <= end and (longer := heads(s[at:j])):
+                found = longer
+                j += 1
+            rest = iter(found)
+            while True:
+                for piece in rest:
+                    if (not before or fits(before, piece)) and at + len(piece) not in dead:
+                        break
+                else:
+                    dead.add(at)
+                    rest = untried.pop()
+                    at -= len(out.pop())
+                    before = out[-1] if out else ""
+                    continue
+                break
+            out.append(piece)
+            untried.append(rest)
+            at += len(piece)
+            before = piece
+        return out
+
     def segment(self, s: str) -> bytes:
         """Ids of what stands between two free places."""
-        return self.coded(self.back(self.forward(s, 0, "", len(s)), len(s), 0))
+        return self.coded(self.path(s))
 
     def learn(self, segments: list[str]) -> Iterator[bytes]:
         """Ids of segments not seen lately. No piece crosses from a letter to most signs: what stands before them may be known."""
